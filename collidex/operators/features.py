@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from collidex.config import DEFAULT_CUTS, EVENT_FEATURES, PARTICLE_FEATURES, Cuts
-from collidex.functions.kinematics import sign3, transverse_mass
-from collidex.operators.selection import cap, remove_overlap, select_events
+from collidex.functions.kinematics import delta_r, sign3, transverse_mass
+from collidex.operators.selection import cap, event_particles
 
 FEATURE_COLS = list(PARTICLE_FEATURES)
 EVENT_COLS = list(EVENT_FEATURES)
@@ -20,58 +20,61 @@ def _row(cols: dict) -> list:
             for n, c in cols.items()]
 
 
-def _lepton_rows(selected: DataFrame) -> DataFrame:
-    vals = dict(zip(FEATURE_COLS, [
-        "lep_e", "lep_px", "lep_py", "lep_pz", "lep_p_pt", "lep_p_eta", "lep_p_phi", 0, 0, 0,
-        "lep_iso_ch", "lep_iso_gamma", "lep_iso_neu", 0, 0, 0, "lep_is_ele", "lep_is_mu",
-        "lep_charge"]))
-    return selected.select("event_id", F.lit(0).alias("seq"),
-                           F.when(F.col("lep_is_ele") == 1.0, "electron").otherwise("muon").alias("species"),
-                           *_row(vals))
+def _feature_rows(df: DataFrame) -> DataFrame:
+    """The 19 features of lepton rows (``is_lep``) and object rows in one projection."""
+    sp, lep = F.col("species"), F.col("is_lep")
+    is_trk = sp == "track"
 
+    def pick(lep_val, obj_val):
+        return F.when(lep, lep_val).otherwise(obj_val).cast("double")
 
-def _object_rows(df: DataFrame) -> DataFrame:
-    sp = F.col("species")
-    is_trk = sp == "track"
-    flag = {s: F.when(sp == s, 1.0).otherwise(0.0) for s in ("track", "neutral", "photon")}
-    zero_unless_trk = {c: F.when(is_trk, F.col(c)).otherwise(0.0) for c in ("x", "y", "z")}
-    return df.select(
-        "event_id", "seq", "species",
-        *[F.col(c).cast("double").alias(n) for c, n in
-          zip(["e", "px", "py", "pz", "pt", "eta", "phi"], FEATURE_COLS[:7])],
-        zero_unless_trk["x"].alias("vtxX"), zero_unless_trk["y"].alias("vtxY"),
-        zero_unless_trk["z"].alias("vtxZ"),
-        F.col("iso_ch").alias("ChPFIso"), F.col("iso_gamma").alias("GammaPFIso"),
-        F.col("iso_neu").alias("NeuPFIso"),
-        flag["track"].alias("isChHad"), flag["neutral"].alias("isNeuHad"),
-        flag["photon"].alias("isGamma"), F.lit(0.0).alias("isEle"), F.lit(0.0).alias("isMu"),
-        F.when(is_trk, sign3(F.col("pid"))).otherwise(0.0).alias("Charge"))
+    zero = F.lit(0.0)
+    vals = {
+        "Energy": pick(F.col("lep_e"), F.col("e")),
+        "Px": pick(F.col("lep_px"), F.col("px")),
+        "Py": pick(F.col("lep_py"), F.col("py")),
+        "Pz": pick(F.col("lep_pz"), F.col("pz")),
+        "Pt": pick(F.col("lep_p_pt"), F.col("pt")),
+        "Eta": pick(F.col("lep_p_eta"), F.col("eta")),
+        "Phi": pick(F.col("lep_p_phi"), F.col("phi")),
+        "vtxX": pick(zero, F.when(is_trk, F.col("x")).otherwise(0.0)),
+        "vtxY": pick(zero, F.when(is_trk, F.col("y")).otherwise(0.0)),
+        "vtxZ": pick(zero, F.when(is_trk, F.col("z")).otherwise(0.0)),
+        "ChPFIso": F.col("iso_ch"), "GammaPFIso": F.col("iso_gamma"), "NeuPFIso": F.col("iso_neu"),
+        "isChHad": pick(zero, F.when(is_trk, 1.0).otherwise(0.0)),
+        "isNeuHad": pick(zero, F.when(sp == "neutral", 1.0).otherwise(0.0)),
+        "isGamma": pick(zero, F.when(sp == "photon", 1.0).otherwise(0.0)),
+        "isEle": pick(F.col("lep_is_ele"), zero),
+        "isMu": pick(F.col("lep_is_mu"), zero),
+        "Charge": pick(F.col("lep_charge"), F.when(is_trk, sign3(F.col("pid"))).otherwise(0.0)),
+    }
+    return df.select("event_id", "seq", "species", *[vals[c].alias(c) for c in FEATURE_COLS])
 
 
 def particle_features(particles: DataFrame, events: DataFrame, cuts: Cuts = DEFAULT_CUTS,
-                      selected: DataFrame | None = None, iso: DataFrame | None = None) -> DataFrame:
+                      ep: DataFrame | None = None) -> DataFrame:
     """one row per kept particle of each selected event.
 
     Columns: event_id, seq, species and the 19 features. ``seq`` is the row
     of the particle in the padded matrix: 0 lepton, then tracks, photons and
-    neutrals, each in array order and capped.
+    neutrals, each in array order and capped. All steps are windows over the
+    event partitioning produced by :func:`event_particles`.
     """
-    if selected is None or iso is None:
-        selected, iso = select_events(particles, events, cuts, iso)
-    objs = iso.where(F.col("species").isin("track", "photon", "neutral"))
-    tracks = remove_overlap(objs.where(F.col("species") == "track"), selected, cuts)
-    towers = objs.where(F.col("species") != "track").join(
-        selected.select("event_id"), "event_id", "left_semi")
-    kept = cap(tracks.unionByName(towers),
-               {"track": cuts.max_tracks, "photon": cuts.max_photons,
-                "neutral": cuts.max_neutrals})
+    ep = ep if ep is not None else event_particles(particles, events, cuts)
+    sp = F.col("species")
+    d = delta_r("lep_p_eta", "lep_p_phi", "p_eta", "p_phi", cuts.pi_approx)
+    rows = ep.where(F.col("is_lep") | ((sp == "track") & (d > cuts.overlap_dr))
+                    | sp.isin("photon", "neutral"))
+    # Lepton rows form their own (event, species) window partitions: never capped.
+    kept = cap(rows, {"track": cuts.max_tracks, "photon": cuts.max_photons,
+                      "neutral": cuts.max_neutrals, "electron": 1, "muon": 1})
     ev = Window.partitionBy("event_id")
-    n_trk = F.count(F.when(F.col("species") == "track", 1)).over(ev)
-    n_pho = F.count(F.when(F.col("species") == "photon", 1)).over(ev)
-    offset = (F.when(F.col("species") == "track", 0)
-              .when(F.col("species") == "photon", n_trk).otherwise(n_trk + n_pho))
-    kept = kept.withColumn("seq", (F.col("rank") + offset).cast("int"))
-    return _lepton_rows(selected).unionByName(_object_rows(kept))
+    n_trk = F.count(F.when(sp == "track", 1)).over(ev)
+    n_pho = F.count(F.when(sp == "photon", 1)).over(ev)
+    offset = F.when(sp == "track", 0).when(sp == "photon", n_trk).otherwise(n_trk + n_pho)
+    seq = F.when(F.col("is_lep"), 0).otherwise(F.col("rank") + offset).cast("int")
+    kept = kept.withColumn("seq", seq)
+    return _feature_rows(kept)
 
 
 def jet_summary(particles: DataFrame, cuts: Cuts = DEFAULT_CUTS) -> DataFrame:
@@ -85,10 +88,10 @@ def jet_summary(particles: DataFrame, cuts: Cuts = DEFAULT_CUTS) -> DataFrame:
 
 
 def event_features(particles: DataFrame, events: DataFrame, cuts: Cuts = DEFAULT_CUTS,
-                   selected: DataFrame | None = None) -> DataFrame:
+                   ep: DataFrame | None = None) -> DataFrame:
     """the 14 event features and the label, one row per selected event."""
-    if selected is None:
-        selected, _ = select_events(particles, events, cuts)
+    ep = ep if ep is not None else event_particles(particles, events, cuts)
+    selected = ep.where(F.col("is_lep"))
     jets = jet_summary(particles, cuts)
     j = selected.join(jets, "event_id", "left")
     vals = {
@@ -109,9 +112,9 @@ def event_features(particles: DataFrame, events: DataFrame, cuts: Cuts = DEFAULT
 
 def features(particles: DataFrame, events: DataFrame, cuts: Cuts = DEFAULT_CUTS):
     """(particle_features, event_features) sharing one selection/isolation plan."""
-    selected, iso = select_events(particles, events, cuts)
-    return (particle_features(particles, events, cuts, selected, iso),
-            event_features(particles, events, cuts, selected))
+    ep = event_particles(particles, events, cuts)
+    return (particle_features(particles, events, cuts, ep),
+            event_features(particles, events, cuts, ep))
 
 
 def assemble_hfeatures(ev: DataFrame, as_vector: bool = False, out: str = "hfeatures") -> DataFrame:

@@ -15,12 +15,17 @@ LEPTON_FIELDS = ["e", "px", "py", "pz", "p_pt", "p_eta", "p_phi",
                  "iso_ch", "iso_gamma", "iso_neu", "charge"]
 
 
-def candidate_maps(particles: DataFrame, cuts: Cuts = DEFAULT_CUTS) -> DataFrame:
-    """P5: particles entering the isolation maps (strict thresholds)."""
+def map_condition(cuts: Cuts = DEFAULT_CUTS):
+    """P5 predicate: track pt > 0.5, photon and neutral ET > 1.0 (strict)."""
     sp, pt = F.col("species"), F.col("pt")
-    return particles.where(((sp == "track") & (pt > cuts.track_pt))
-                           | ((sp == "photon") & (pt > cuts.photon_et))
-                           | ((sp == "neutral") & (pt > cuts.neutral_et)))
+    return (((sp == "track") & (pt > cuts.track_pt))
+            | ((sp == "photon") & (pt > cuts.photon_et))
+            | ((sp == "neutral") & (pt > cuts.neutral_et)))
+
+
+def candidate_maps(particles: DataFrame, cuts: Cuts = DEFAULT_CUTS) -> DataFrame:
+    """P5: particles entering the isolation maps."""
+    return particles.where(map_condition(cuts))
 
 
 def with_kinematics(df: DataFrame) -> DataFrame:
@@ -55,9 +60,9 @@ def isolated_particles(particles: DataFrame, cuts: Cuts = DEFAULT_CUTS) -> DataF
     photons, neutrals), so the candidate maps are shuffled once.
     """
     maps = candidate_maps(particles, cuts)
-    leptons = particles.where(F.col("species").isin("electron", "muon")
-                              & (F.col("pt") > cuts.lep_pt))
-    probes = with_kinematics(maps.unionByName(leptons))
+    sp, pt = F.col("species"), F.col("pt")
+    probes = with_kinematics(particles.where(
+        map_condition(cuts) | (sp.isin("electron", "muon") & (pt > cuts.lep_pt))))
     return isolation(probes, maps, dr=cuts.dr, wrap=cuts.wrap, pi_approx=cuts.pi_approx)
 
 
@@ -123,3 +128,50 @@ def cap(particles: DataFrame, caps: dict[str, int]) -> DataFrame:
         limit = F.when(F.col("species") == s, F.lit(int(n))).otherwise(limit)
     return (particles.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= limit))
+
+
+def event_particles(particles: DataFrame, events: DataFrame, cuts: Cuts = DEFAULT_CUTS,
+                    iso: DataFrame | None = None) -> DataFrame:
+    """Isolated particles of selected events, each row carrying its event's lepton.
+
+    After the isolation join everything here is per event, so it is written as
+    window functions over one ``event_id`` partitioning (one exchange) instead
+    of split-aggregate-rejoin branches:
+
+    * P6: the three map flags are ``max`` over the event window;
+    * W1: the first isolated electron/muon are ``min_by(.., pos)`` over it;
+    * W2: the choice between them is a row expression;
+    * P7 + J3: the lepton counters and event info come from one join with the
+      event table (hash-partitioned on the same key).
+
+    Output: iso rows + ``is_lep`` (the chosen lepton's own row) + ``lep_*``
+    fields + label, met, met_phi.
+    """
+    iso = iso if iso is not None else isolated_particles(particles, cuts)
+    sp = F.col("species")
+    ev = Window.partitionBy("event_id")
+    ok = (sp.isin("electron", "muon") & (F.col("pt") > cuts.lep_pt)
+          & ((F.col("iso_ch") + F.col("iso_neu") + F.col("iso_gamma")) < cuts.iso_max))
+    st = F.struct(F.col("species"), F.col("pos"), *[F.col(c) for c in LEPTON_FIELDS])
+    rank = {"eta": "p_eta", "pt": "p_pt"}[cuts.lepton_rank]
+    w = iso.select(
+        "*",
+        F.max((sp == "track").cast("int")).over(ev).alias("_has_trk"),
+        F.max((sp == "photon").cast("int")).over(ev).alias("_has_pho"),
+        F.max((sp == "neutral").cast("int")).over(ev).alias("_has_neu"),
+        F.min_by(st, F.when(ok & (sp == "electron"), F.col("pos"))).over(ev).alias("_ele"),
+        F.min_by(st, F.when(ok & (sp == "muon"), F.col("pos"))).over(ev).alias("_mu"))
+    pick_ele = F.col("_mu").isNull() | (F.col("_ele").isNotNull()
+                                        & (F.col(f"_ele.{rank}") > F.col(f"_mu.{rank}")))
+    lep = F.when(pick_ele, F.col("_ele")).otherwise(F.col("_mu"))
+    w = (w.where((F.col("_has_trk") == 1) & (F.col("_has_pho") == 1) & (F.col("_has_neu") == 1)
+                 & (F.col("_ele").isNotNull() | F.col("_mu").isNotNull()))
+         .select(*iso.columns, lep.alias("_lep"),
+                 F.when(pick_ele, 1.0).otherwise(0.0).alias("lep_is_ele")))
+    w = w.select(*iso.columns,
+                 ((sp == F.col("_lep.species")) & (F.col("pos") == F.col("_lep.pos"))).alias("is_lep"),
+                 *[F.col(f"_lep.{c}").alias(f"lep_{c}") for c in LEPTON_FIELDS],
+                 "lep_is_ele", (F.lit(1.0) - F.col("lep_is_ele")).alias("lep_is_mu"))
+    gated = (events.where((F.col("electron_size") > 0) | (F.col("muon_size") > 0))
+             .select("event_id", "label", "met", "met_phi"))
+    return w.join(gated, "event_id")

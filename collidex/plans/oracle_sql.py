@@ -99,3 +99,40 @@ ORACLE["particle_features"] = with_(P, f"SELECT event_id, CAST(seq AS INTEGER) A
 ORACLE["particle_caps"] = with_(
     pipeline(DEFAULT_CUTS.with_(max_tracks=5, max_photons=3, max_neutrals=3)),
     f"SELECT event_id, CAST(seq AS INTEGER) AS seq, species, {rounded(['Pt', 'Eta', 'Phi', 'ChPFIso'])} FROM pf")
+
+# -------------------------------------------------------------- sequences ---
+_FC = list(PARTICLE_FEATURES)
+ORACLE["lfeatures"] = with_(P, f"SELECT event_id, CAST(seq AS INTEGER) AS row, {_PF} FROM pf")
+ORACLE["lfeatures_size"] = with_(P, f"""
+SELECT event_id, CAST(greatest(count(*), {DEFAULT_CUTS.n_rows}) AS INTEGER) AS n_rows,
+       CAST(19 AS INTEGER) AS n_cols, CAST(count(*) AS INTEGER) AS n_real
+FROM pf GROUP BY event_id""")
+
+_SEQ = P + f""",
+sq0 AS (
+  SELECT p.*, l.Eta AS lep_eta, l.Phi AS lep_phi
+  FROM pf p JOIN (SELECT event_id, Eta, Phi FROM pf WHERE seq = 0) l USING (event_id)),
+sq1 AS (
+  SELECT *, sqrt((lep_eta - Eta) * (lep_eta - Eta)
+                 + {wrap_sql('lep_phi - Phi')} * {wrap_sql('lep_phi - Phi')}) AS dr FROM sq0),
+sq AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY dr DESC, seq ASC) - 1 AS INTEGER) AS idx
+  FROM sq1),
+sc AS (
+  SELECT event_id, idx,
+    {", ".join(f"({c} - avg({c}) OVER w) / (CASE WHEN stddev_pop({c}) OVER w < 1e-12 THEN 1e0 ELSE stddev_pop({c}) OVER w END) AS {c}" for c in _FC)}
+  FROM sq WINDOW w AS (PARTITION BY event_id))"""
+ORACLE["sequence_order"] = with_(_SEQ, f"SELECT event_id, CAST(seq AS INTEGER) AS seq, idx, {r6('dr')} AS dr FROM sq")
+ORACLE["sequence_scaled"] = with_(_SEQ, f"SELECT event_id, idx, {rounded(_FC)} FROM sc")
+_EFC = list(EVENT_FEATURES)
+ORACLE["inclusive_features"] = with_(_SEQ + f""",
+pool AS (
+  SELECT event_id, CAST(count(*) AS INTEGER) AS seq_len,
+    {", ".join(f"max({c}) AS max_{c}" for c in _FC)}, {", ".join(f"min({c}) AS min_{c}" for c in _FC)}
+  FROM sc GROUP BY event_id),
+mm AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _EFC)} FROM ef)""", f"""
+SELECT p.event_id, p.seq_len,
+  {", ".join(f"{r6('p.max_' + c)} AS max_{c}, {r6('p.min_' + c)} AS min_{c}" for c in _FC)},
+  {", ".join(r6(f"CASE WHEN mm.hi_{c} = mm.lo_{c} THEN 0.5e0 ELSE (e.{c} - mm.lo_{c}) * (1e0 / (mm.hi_{c} - mm.lo_{c})) END") + f" AS {c}" for c in _EFC)},
+  e.label
+FROM pool p JOIN ef e USING (event_id), mm""")

@@ -214,3 +214,45 @@ def q_particle_caps(spark, sf_dir):
     cuts = DEFAULT_CUTS.with_(max_tracks=5, max_photons=3, max_neutrals=3)
     return rounded(_particle_features(spark, sf_dir, cuts).select(
         "event_id", "seq", "species", "Pt", "Eta", "Phi", "ChPFIso"))
+
+
+# -------------------------------------------------------------- sequences ---
+
+from collidex.operators import sequences as SQ  # noqa: E402
+
+
+@query("lfeatures")
+def q_lfeatures(spark, sf_dir):
+    """Padded particle matrix, checked in flat form (real rows only)."""
+    lf = FE.assemble_lfeatures(_particle_features(spark, sf_dir))
+    rows = lf.select("event_id", F.posexplode("lfeatures").alias("row", "f"))
+    rows = rows.where(F.exists("f", lambda v: v != 0))
+    return rounded(rows.select("event_id", F.col("row").cast("int").alias("row"),
+                               *[F.col("f")[i].alias(c) for i, c in enumerate(FE.FEATURE_COLS)]))
+
+
+@query("lfeatures_size")
+def q_lfeatures_size(spark, sf_dir):
+    """Matrix sizes (801 x 19) and non-padding row counts."""
+    return FE.nested_sizes(FE.assemble_lfeatures(_particle_features(spark, sf_dir)))
+
+
+@query("sequence_order")
+def q_sequence_order(spark, sf_dir):
+    """Particles ordered by delta R to the lepton, descending."""
+    o = SQ.sequence_order(_particle_features(spark, sf_dir))
+    return rounded(o.select("event_id", "seq", "idx", "dr"))
+
+
+@query("sequence_scaled")
+def q_sequence_scaled(spark, sf_dir):
+    """Ordered, per-event standardised particle rows."""
+    return rounded(SQ.sequence_features(_particle_features(spark, sf_dir)))
+
+
+@query("inclusive_features")
+def q_inclusive_features(spark, sf_dir):
+    """pooled sequence summary joined to scaled event features."""
+    parts, events = fixture(spark, sf_dir)
+    pf, ef = FE.features(parts, events)
+    return rounded(SQ.inclusive_features(SQ.sequence_features(pf), ef))
