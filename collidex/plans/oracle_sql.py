@@ -136,3 +136,80 @@ SELECT p.event_id, p.seq_len,
   {", ".join(r6(f"CASE WHEN mm.hi_{c} = mm.lo_{c} THEN 0.5e0 ELSE (e.{c} - mm.lo_{c}) * (1e0 / (mm.hi_{c} - mm.lo_{c})) END") + f" AS {c}" for c in _EFC)},
   e.label
 FROM pool p JOIN ef e USING (event_id), mm""")
+
+# ------------------------------------------------------------- evaluation ---
+_PRED = """emb_pred AS (
+  SELECT vec_id, label AS y_true, CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS y_pred
+  FROM (SELECT vec_id, label, embedding[1:10] AS s FROM embeddings))"""
+_CLS = "(SELECT CAST(unnest(range(10)) AS INTEGER) AS c)"
+ORACLE["label_counts"] = with_(FIXTURE, "SELECT label, count(*) AS count FROM fx_events GROUP BY label")
+ORACLE["class_counts"] = with_(_PRED, "SELECT y_pred, count(*) AS count FROM emb_pred GROUP BY y_pred")
+ORACLE["confusion_matrix"] = with_(_PRED, f"""
+SELECT l.c AS y_true, {", ".join(f"count(p.y_pred) FILTER (WHERE p.y_pred = {k}) AS pred_{k}" for k in range(10))}
+FROM {_CLS} l LEFT JOIN emb_pred p ON p.y_true = l.c AND p.y_pred BETWEEN 0 AND 9
+GROUP BY l.c""")
+ORACLE["accuracy"] = with_(_PRED, f"""
+SELECT {r6('avg(CASE WHEN y_true = y_pred THEN 1e0 ELSE 0e0 END)')} AS accuracy, count(*) AS n FROM emb_pred""")
+
+_LONG = f"""long AS (
+  SELECT cls.c AS class, CAST(e.embedding[cls.c + 1] AS DOUBLE) AS score,
+         CASE WHEN e.label = cls.c THEN 1 ELSE 0 END AS is_pos
+  FROM embeddings e, {_CLS} cls),
+pts AS (
+  SELECT class, score, CAST(sum(is_pos) AS BIGINT) AS pos, CAST(sum(1 - is_pos) AS BIGINT) AS neg
+  FROM long GROUP BY class, score)"""
+ORACLE["roc_curve"] = with_(_LONG + """,
+tot AS (SELECT class, sum(pos) AS P, sum(neg) AS N FROM pts GROUP BY class),
+cur AS (
+  SELECT class, score AS threshold,
+         CAST(sum(pos) OVER (PARTITION BY class ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tp,
+         CAST(sum(neg) OVER (PARTITION BY class ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fp
+  FROM pts
+  UNION ALL SELECT class, 'inf'::DOUBLE, 0, 0 FROM tot)""", f"""
+SELECT c.class, c.threshold, c.tp, c.fp,
+       CASE WHEN t.P > 0 THEN {r6('c.tp / t.P')} END AS tpr, CASE WHEN t.N > 0 THEN {r6('c.fp / t.N')} END AS fpr
+FROM cur c JOIN tot t USING (class)""")
+
+
+def _auc_sql(long_cte: str, keys: str) -> str:
+    return long_cte + f""",
+ac AS (
+  SELECT *, coalesce(sum(pos) OVER (PARTITION BY {keys} ORDER BY score DESC
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cum_pos
+  FROM pts),
+auc AS (
+  SELECT {keys}, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+                      THEN sum(neg * (cum_pos + pos / 2e0)) / (sum(pos) * sum(neg)) END AS auc
+  FROM ac GROUP BY {keys})"""
+
+
+ORACLE["auc"] = with_(_auc_sql(_LONG, "class"), f"SELECT class, {r6('auc')} AS auc FROM auc")
+_LONG_M = f"""long AS (
+  SELECT m.model, cls.c AS class, CAST(e.embedding[m.off + cls.c + 1] AS DOUBLE) AS score,
+         CASE WHEN e.label = cls.c THEN 1 ELSE 0 END AS is_pos
+  FROM embeddings e, {_CLS} cls,
+       (VALUES ('baseline', 0), ('grid', 10), ('random', 20)) m(model, off)),
+pts AS (
+  SELECT model, class, score, CAST(sum(is_pos) AS BIGINT) AS pos, CAST(sum(1 - is_pos) AS BIGINT) AS neg
+  FROM long GROUP BY model, class, score)"""
+ORACLE["model_compare"] = with_(_auc_sql(_LONG_M, "model, class"), f"""
+SELECT model, class, {r6('auc')} AS auc,
+       row_number() OVER (PARTITION BY class ORDER BY auc DESC, model) = 1 AS is_best
+FROM auc""")
+
+_HIST = """hist AS (
+  SELECT event_type AS trainer, CAST(user_id % 5 AS INTEGER) AS worker_id, value AS loss,
+         row_number() OVER (PARTITION BY event_type, user_id % 5 ORDER BY event_id) AS iteration
+  FROM events)"""
+ORACLE["worker_iterations"] = with_(_HIST, "SELECT trainer, worker_id, count(*) AS iterations FROM hist GROUP BY trainer, worker_id")
+ORACLE["loss_curve"] = with_(_HIST + """,
+per_i AS (SELECT trainer, iteration - 1 AS i, avg(loss) AS m, stddev_pop(loss) AS s
+          FROM hist GROUP BY trainer, iteration - 1)""", f"""
+SELECT trainer, CAST(max(i) AS BIGINT) AS iteration, {r6('avg(m)')} AS loss, {r6('avg(s)')} AS error
+FROM per_i GROUP BY trainer, ceil(i / 100e0)""")
+ORACLE["loss_smooth"] = with_("""ser AS (
+  SELECT event_type AS trainer, value AS loss, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS it
+  FROM events),
+grp AS (SELECT trainer, greatest(ceil(it / 100e0), 1) AS g, max(it) AS iteration, sum(loss) AS s
+        FROM ser GROUP BY trainer, greatest(ceil(it / 100e0), 1))""", f"""
+SELECT trainer, CAST(iteration AS BIGINT) AS iteration, {r6('s / 100e0')} AS avg_loss FROM grp WHERE iteration = g * 100""")

@@ -256,3 +256,100 @@ def q_inclusive_features(spark, sf_dir):
     parts, events = fixture(spark, sf_dir)
     pf, ef = FE.features(parts, events)
     return rounded(SQ.inclusive_features(SQ.sequence_features(pf), ef))
+
+
+# ------------------------------------------------------------- evaluation ---
+
+from collidex.operators import evaluate as EVL  # noqa: E402
+
+
+def _embeddings(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+
+
+def _emb_predictions(spark, sf_dir):
+    """Fixed scores: the first ten embedding values act as class scores."""
+    e = _embeddings(spark, sf_dir)
+    return e.select("vec_id", F.col("label").alias("y_true"),
+                    EVL.argmax(F.slice("embedding", 1, 10)).alias("y_pred"))
+
+
+@query("label_counts")
+def q_label_counts(spark, sf_dir):
+    """A2: events per class."""
+    _, events = fixture(spark, sf_dir)
+    return EVL.label_counts(events)
+
+
+@query("class_counts")
+def q_class_counts(spark, sf_dir):
+    """A4: counts of predicted classes after argmax, most frequent first."""
+    return EVL.label_counts(_emb_predictions(spark, sf_dir), "y_pred")
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    """Zero-filled confusion matrix, rows = true label."""
+    return EVL.confusion_matrix(_emb_predictions(spark, sf_dir), list(range(10)))
+
+
+@query("accuracy")
+def q_accuracy(spark, sf_dir):
+    """Accuracy of argmax predictions."""
+    return rounded(EVL.accuracy(_emb_predictions(spark, sf_dir)))
+
+
+def _emb_long(spark, sf_dir):
+    e = _embeddings(spark, sf_dir).withColumn("scores", F.slice("embedding", 1, 10))
+    return EVL.one_vs_rest(e, "scores", "label", list(range(10)))
+
+
+@query("roc_curve")
+def q_roc_curve(spark, sf_dir):
+    """One-vs-rest ROC curve per class."""
+    r = EVL.roc_curve(_emb_long(spark, sf_dir))
+    return r.select("class", "threshold", "tp", "fp", K.r6("tpr").alias("tpr"), K.r6("fpr").alias("fpr"))
+
+
+@query("auc")
+def q_auc(spark, sf_dir):
+    """Trapezoidal AUC per class."""
+    return rounded(EVL.auc(_emb_long(spark, sf_dir)))
+
+
+@query("model_compare")
+def q_model_compare(spark, sf_dir):
+    """AUC per (model, class) for three fixed-score models, best flagged."""
+    e = _embeddings(spark, sf_dir)
+    models = F.explode(F.array(*[F.struct(F.lit(name).alias("model"),
+                                          F.slice("embedding", 1 + 10 * i, 10).alias("scores"))
+                                 for i, name in enumerate(["baseline", "grid", "random"])]))
+    m = e.select("label", models.alias("m")).select("label", "m.model", "m.scores")
+    long = EVL.one_vs_rest(m, "scores", "label", list(range(10)), model_col="model")
+    return rounded(EVL.compare_models(long))
+
+
+def _history(spark, sf_dir):
+    return EVL.history_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+@query("worker_iterations")
+def q_worker_iterations(spark, sf_dir):
+    """A5: iterations per (trainer, worker)."""
+    return EVL.worker_iterations(_history(spark, sf_dir))
+
+
+@query("loss_curve")
+def q_loss_curve(spark, sf_dir):
+    """Bucketed mean loss and spread across workers."""
+    return rounded(EVL.loss_curve(_history(spark, sf_dir), bucket=100))
+
+
+@query("loss_smooth")
+def q_loss_smooth(spark, sf_dir):
+    """Loss averaged per batch of 100 iterations, per trainer."""
+    from collidex.operators.ordered import ordered_rank
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        F.col("event_type").alias("trainer"), "event_id", F.col("value").alias("loss"))
+    s = ordered_rank(ev, ["trainer"], "event_id", out="it").withColumn("it", F.col("it") - 1)
+    return rounded(EVL.loss_smooth(s, 100))
