@@ -213,3 +213,21 @@ ORACLE["loss_smooth"] = with_("""ser AS (
 grp AS (SELECT trainer, greatest(ceil(it / 100e0), 1) AS g, max(it) AS iteration, sum(loss) AS s
         FROM ser GROUP BY trainer, greatest(ceil(it / 100e0), 1))""", f"""
 SELECT trainer, CAST(iteration AS BIGINT) AS iteration, {r6('s / 100e0')} AS avg_loss FROM grp WHERE iteration = g * 100""")
+
+# ------------------------------------------------------------ preparation ---
+_MIX = "(((event_id % 2147483648) * 2654435761) % 4294967296)"
+_SPLIT = f"CASE WHEN {_MIX} < 858993459 THEN 'test' ELSE 'train' END"
+ORACLE["one_hot"] = with_(FIXTURE, "SELECT event_id, label, " + ", ".join(
+    f"CASE WHEN label = {k} THEN 1e0 ELSE 0e0 END AS oh_{k}" for k in range(3)) + " FROM fx_events")
+ORACLE["split_counts"] = with_(FIXTURE, f"SELECT {_SPLIT} AS split, label, count(*) AS count FROM fx_events GROUP BY 1, 2")
+ORACLE["undersample"] = with_(FIXTURE, f"""
+SELECT event_id, label FROM (
+  SELECT event_id, label, row_number() OVER (PARTITION BY label ORDER BY {_MIX}) AS rk FROM fx_events)
+WHERE rk <= (SELECT min(n) FROM (SELECT count(*) AS n FROM fx_events GROUP BY label))""")
+ORACLE["min_max"] = with_(P + f""",
+efs AS (SELECT *, {_SPLIT} AS split FROM ef),
+lim AS (SELECT {", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in _EFC)} FROM efs WHERE split = 'train')""", f"""
+SELECT event_id, split, {", ".join(r6(f"CASE WHEN hi_{c} = lo_{c} THEN 0.5e0 ELSE (e.{c} - lo_{c}) * (1e0 / (hi_{c} - lo_{c})) + 0e0 END") + f" AS f{i}" for i, c in enumerate(_EFC))}
+FROM efs e, lim""")
+ORACLE["vector_columns"] = with_(P, "SELECT event_id, label, " + ", ".join(
+    f"{r6(c)} AS f{i}" for i, c in enumerate(_EFC)) + " FROM ef")

@@ -353,3 +353,102 @@ def q_loss_smooth(spark, sf_dir):
         F.col("event_type").alias("trainer"), "event_id", F.col("value").alias("loss"))
     s = ordered_rank(ev, ["trainer"], "event_id", out="it").withColumn("it", F.col("it") - 1)
     return rounded(EVL.loss_smooth(s, 100))
+
+
+# ------------------------------------------------------------ preparation ---
+
+from collidex.operators import models as MD  # noqa: E402
+from collidex.operators import prep as PR  # noqa: E402
+from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: E402
+
+
+@query("one_hot")
+def q_one_hot(spark, sf_dir):
+    """M1: one-hot labels with every class kept."""
+    _, events = fixture(spark, sf_dir)
+    oh = PR.one_hot(events.select("event_id", "label"))
+    arr = vector_to_array("encoded_label")
+    return oh.select("event_id", "label", *[arr[i].alias(f"oh_{i}") for i in range(3)])
+
+
+@query("split_counts")
+def q_split_counts(spark, sf_dir):
+    """A3/M4: reproducible 80/20 split, rows per (split, label)."""
+    _, events = fixture(spark, sf_dir)
+    s = PR.key_split(events, "event_id")
+    return s.groupBy("split", "label").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query("undersample")
+def q_undersample(spark, sf_dir):
+    """M5: class-balanced subset (smallest class size per class)."""
+    _, events = fixture(spark, sf_dir)
+    return PR.undersample(events.select("event_id", "label"))
+
+
+@query("min_max")
+def q_min_max(spark, sf_dir):
+    """M2/M3: event features min-max scaled with limits fitted on the train split."""
+    ef = PR.key_split(_event_features(spark, sf_dir), "event_id")
+    train = ef.where(F.col("split") == "train")
+    model = PR.prep_pipeline(train)
+    out = model.transform(ef).select("event_id", "split", "features")
+    return rounded(PR.vector_columns(out, "features", 14))
+
+
+@query("vector_columns")
+def q_vector_columns(spark, sf_dir):
+    """Event features as a dense vector and back to one column per element."""
+    v = PR.assemble(_event_features(spark, sf_dir)).select("event_id", "label", "dense_features")
+    return rounded(PR.vector_columns(v, "dense_features", 14))
+
+
+@query("shuffle")
+def q_shuffle(spark, sf_dir):
+    """Seeded global shuffle of the events."""
+    _, events = fixture(spark, sf_dir)
+    return PR.shuffle(events.select("event_id", "label"), seed=7)
+
+
+def _emb_ml(spark, sf_dir):
+    e = _embeddings(spark, sf_dir)
+    feats = array_to_vector(F.transform("embedding", lambda v: v.cast("double")))
+    return PR.key_split(e.select("vec_id", "label", feats.alias("features")), "vec_id")
+
+
+@query("rf_predict")
+def q_rf_predict(spark, sf_dir):
+    """M6/M9: random forest (50 trees, depth 10) trained on the train split, scored on test."""
+    d = _emb_ml(spark, sf_dir)
+    model = MD.train_forest(d.where(F.col("split") == "train"))
+    return MD.score(model, d.where(F.col("split") == "test"), keep=["vec_id", "label"])
+
+
+@query("mlp_predict")
+def q_mlp_predict(spark, sf_dir):
+    """M7/M8/M9: 14-50-20-10-3 network on scaled event features."""
+    ef = PR.key_split(_event_features(spark, sf_dir), "event_id")
+    train = ef.where(F.col("split") == "train")
+    prep = PR.prep_pipeline(train)
+    model = MD.train_network(prep.transform(train), max_iter=50)
+    return MD.score(model, prep.transform(ef.where(F.col("split") == "test")),
+                    keep=["event_id", "label"])
+
+
+@query("grid_search")
+def q_grid_search(spark, sf_dir):
+    """Cross-validated grid over block size, epochs and layer widths (small grid)."""
+    d = _emb_ml(spark, sf_dir).where(F.col("split") == "train")
+    _, table = MD.grid_search(d, 64, 10, batch=(64, 128), epochs=(20, 40), nh1=(32,), nh2=(16,),
+                              nh3=(12,), folds=3, parallelism=2)
+    return table
+
+
+@query("random_search")
+def q_random_search(spark, sf_dir):
+    """Seeded random draws per axis, then the cross-validated grid of the draws."""
+    d = _emb_ml(spark, sf_dir).where(F.col("split") == "train")
+    space = {"batch": (1, 32, 256), "epochs": (2, 10, 40), "nh1": (1, 16, 64),
+             "nh2": (1, 8, 32), "nh3": (1, 10, 20)}
+    _, table = MD.random_search(d, 64, 10, space=space, folds=3, parallelism=2)
+    return table
