@@ -231,3 +231,82 @@ SELECT event_id, split, {", ".join(r6(f"CASE WHEN hi_{c} = lo_{c} THEN 0.5e0 ELS
 FROM efs e, lim""")
 ORACLE["vector_columns"] = with_(P, "SELECT event_id, label, " + ", ".join(
     f"{r6(c)} AS f{i}" for i, c in enumerate(_EFC)) + " FROM ef")
+
+# ----------------------------------------------------------------- images ---
+import math  # noqa: E402
+
+from collidex.functions.kinematics import grid_shape  # noqa: E402
+from collidex.plans.oracle import d  # noqa: E402
+
+_RES = 10
+_NETA, _NPHI, _EETA, _EPHI = grid_shape(_RES, 5.0)
+_PTS = P + f""",
+pts0 AS (
+  SELECT event_id, seq AS pos, Eta AS eta, Phi AS phi,
+         least(ln(greatest(Pt, 1.001e0)) / 5e0, 10e0) AS size,
+         CAST(list_position([isChHad, isNeuHad, isGamma, isEle, isMu, Charge],
+                            list_max([isChHad, isNeuHad, isGamma, isEle, isMu, Charge])) - 1 AS INTEGER) AS ptype
+  FROM pf
+  UNION ALL
+  SELECT event_id, {DEFAULT_CUTS.n_rows} AS pos, 0e0 AS eta, phiMET AS phi,
+         CASE WHEN MET > 0 THEN least(greatest(ln(MET) / 5e0, 0.001e0), 10e0) ELSE 0.001e0 END AS size,
+         5 AS ptype
+  FROM ef),
+pts AS (SELECT * FROM pts0 WHERE NOT (eta = 0 AND phi = 0))"""
+ORACLE["image_points"] = with_(_PTS, f"""
+SELECT event_id, pos, {r6('eta')} AS eta, {r6('phi')} AS phi, {r6('size')} AS size, ptype FROM pts""")
+
+_TP = repr(2 * math.pi)
+
+
+def _e(i, j):
+    return (f"(CASE WHEN ((vx{i} <= x AND x < vx{j}) OR (vx{j} <= x AND x < vx{i})) AND "
+            f"(y < (vy{j} - vy{i}) * (x - vx{i}) / (CASE WHEN vx{j} - vx{i} = 0 THEN NULL ELSE vx{j} - vx{i} END) + vy{i}) "
+            f"THEN 1 ELSE 0 END)")
+
+
+_par = "CASE nv " + " ".join(
+    f"WHEN {n} THEN (" + " + ".join(_e(i, (i - 1) % n) for i in range(n)) + ") % 2" for n in (3, 4, 5)) + " END"
+_vert = ", ".join(
+    f"CASE WHEN nv > {k} THEN cx + R * cos({d(k)} * ({_TP} / nv)) END AS vx{k}, "
+    f"CASE WHEN nv > {k} THEN cy + R * sin({d(k)} * ({_TP} / nv)) END AS vy{k}" for k in range(5))
+_COV = _PTS + f""",
+pc0 AS (
+  SELECT event_id, pos, ptype,
+         CASE ptype WHEN 0 THEN 4 WHEN 1 THEN 0 WHEN 2 THEN 3 WHEN 3 THEN 5 WHEN 4 THEN 5 ELSE 0 END AS nv,
+         (eta + 5e0) / {d(_EETA)} AS cx, size * {d(_RES / 1.5)} AS R, ((phi + o.off) + {repr(math.pi)}) / {repr(_EPHI)} AS cy
+  FROM pts, (VALUES (0e0), ({_TP}), (-{_TP})) o(off)),
+pc1 AS (SELECT *, {_vert} FROM pc0),
+pc2 AS (
+  SELECT *,
+    CASE WHEN nv = 0 THEN greatest(ceil(cx - R), 0) ELSE greatest(floor(least(vx0, vx1, vx2, vx3, vx4)), 0) END AS x0,
+    CASE WHEN nv = 0 THEN least(floor(cx + R), {_NETA - 1}) ELSE least(ceil(greatest(vx0, vx1, vx2, vx3, vx4)), {_NETA - 1}) END AS x1,
+    CASE WHEN nv = 0 THEN greatest(ceil(cy - R), 0) ELSE greatest(floor(least(vy0, vy1, vy2, vy3, vy4)), 0) END AS y0,
+    CASE WHEN nv = 0 THEN least(floor(cy + R), {_NPHI - 1}) ELSE least(ceil(greatest(vy0, vy1, vy2, vy3, vy4)), {_NPHI - 1}) END AS y1
+  FROM pc1),
+pix AS (
+  SELECT pc2.*, CAST(gx.x AS DOUBLE) AS x, CAST(gy.y AS DOUBLE) AS y
+  FROM pc2, generate_series(CAST(x0 AS BIGINT), CAST(x1 AS BIGINT)) gx(x), generate_series(CAST(y0 AS BIGINT), CAST(y1 AS BIGINT)) gy(y)
+  WHERE x0 <= x1 AND y0 <= y1),
+cov AS (
+  SELECT DISTINCT event_id, pos, ptype, CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y FROM pix
+  WHERE CASE WHEN nv = 0
+             THEN (((x - x0) - (cx - x0)) / R) * (((x - x0) - (cx - x0)) / R)
+                  + (((y - y0) - (cy - y0)) / R) * (((y - y0) - (cy - y0)) / R) < 1
+             ELSE {_par} = 1 END),
+bl AS (
+  SELECT event_id, x, y,
+         pow(0.7e0, count(*)) + sum(0.3e0 * pow(0.7e0, j) * cr) AS r,
+         pow(0.7e0, count(*)) + sum(0.3e0 * pow(0.7e0, j) * cg) AS g,
+         pow(0.7e0, count(*)) + sum(0.3e0 * pow(0.7e0, j) * cb) AS b
+  FROM (SELECT *, row_number() OVER (PARTITION BY event_id, x, y ORDER BY pos DESC) - 1 AS j,
+               CASE WHEN ptype IN (0, 1) THEN 1e0 ELSE 0e0 END AS cr,
+               CASE WHEN ptype = 1 THEN 1e0 WHEN ptype IN (3, 4) THEN {repr(128 / 255)} ELSE 0e0 END AS cg,
+               CASE WHEN ptype = 2 THEN 1e0 ELSE 0e0 END AS cb
+        FROM cov)
+  GROUP BY event_id, x, y)"""
+ORACLE["image_pixels"] = with_(_COV, "SELECT event_id, ptype, count(*) AS n_hits FROM cov GROUP BY event_id, ptype")
+ORACLE["image_blend"] = with_(_COV, f"""
+SELECT event_id, count(*) AS n_pixels, {r6('sum(r)')} AS sum_r, {r6('sum(g)')} AS sum_g, {r6('sum(b)')} AS sum_b,
+       {r6('min(r)')} AS min_r
+FROM bl GROUP BY event_id""")

@@ -452,3 +452,61 @@ def q_random_search(spark, sf_dir):
              "nh2": (1, 8, 32), "nh3": (1, 10, 20)}
     _, table = MD.random_search(d, 64, 10, space=space, folds=3, parallelism=2)
     return table
+
+
+# ----------------------------------------------------------------- images ---
+
+from collidex.operators import images as IM  # noqa: E402
+
+IMAGE_RES = 10  # coarse raster for the registered checks (50 x 31 pixels)
+
+
+def _image_inputs(spark, sf_dir):
+    parts, events = fixture(spark, sf_dir)
+    return FE.features(parts, events)
+
+
+@query("image_points")
+def q_image_points(spark, sf_dir):
+    """Drawable points of every selected event."""
+    pf, ef = _image_inputs(spark, sf_dir)
+    return rounded(IM.image_points(pf, ef))
+
+
+@query("image_pixels")
+def q_image_pixels(spark, sf_dir):
+    """Covered (point, pixel) pairs per event and point type."""
+    pf, ef = _image_inputs(spark, sf_dir)
+    cov = IM.cover(IM.image_points(pf, ef), res=IMAGE_RES)
+    return cov.groupBy("event_id", "ptype").agg(F.count(F.lit(1)).alias("n_hits"))
+
+
+@query("image_blend")
+def q_image_blend(spark, sf_dir):
+    """Blended image per event, summarised (touched pixels, channel sums)."""
+    pf, ef = _image_inputs(spark, sf_dir)
+    px = IM.event_pixels(pf, ef, res=IMAGE_RES)
+    return rounded(px.groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("n_pixels"), F.sum("r").alias("sum_r"),
+        F.sum("g").alias("sum_g"), F.sum("b").alias("sum_b"), F.min("r").alias("min_r")))
+
+
+@query("image_dense")
+def q_image_dense(spark, sf_dir):
+    """Dense image arrays (coarse raster) with labels."""
+    pf, ef = _image_inputs(spark, sf_dir)
+    img = IM.dense_images(IM.event_pixels(pf, ef, res=IMAGE_RES), res=IMAGE_RES,
+                          labels=ef.select("event_id", "label"))
+    return img.select("event_id", "label", F.size("image").alias("n_eta"),
+                      F.size(F.get(F.col("image"), 0)).alias("n_phi"))
+
+
+@query("image_struct")
+def q_image_struct(spark, sf_dir):
+    """I8: dense images encoded as Spark image structs (8-bit BGR)."""
+    pf, ef = _image_inputs(spark, sf_dir)
+    img = IM.dense_images(IM.event_pixels(pf, ef, res=IMAGE_RES), res=IMAGE_RES)
+    enc = IM.encode_image(img)
+    s = F.col("image_struct")
+    return enc.select("event_id", s["height"].alias("height"), s["width"].alias("width"),
+                      s["nChannels"].alias("n_channels"), F.length(s["data"]).alias("n_bytes"))
