@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from collidex.config import DEFAULT_CUTS, EVENT_FEATURES, PARTICLE_FEATURES, Cuts
 from collidex.functions.kinematics import delta_r, sign3, transverse_mass
-from collidex.operators.selection import cap, event_particles
+from collidex.operators.selection import LEPTON_FIELDS, cap, event_particles, select_events
 
 FEATURE_COLS = list(PARTICLE_FEATURES)
 EVENT_COLS = list(EVENT_FEATURES)
@@ -89,9 +89,18 @@ def jet_summary(particles: DataFrame, cuts: Cuts = DEFAULT_CUTS) -> DataFrame:
 
 def event_features(particles: DataFrame, events: DataFrame, cuts: Cuts = DEFAULT_CUTS,
                    ep: DataFrame | None = None) -> DataFrame:
-    """the 14 event features and the label, one row per selected event."""
-    ep = ep if ep is not None else event_particles(particles, events, cuts)
-    selected = ep.where(F.col("is_lep"))
+    """the 14 event features and the label, one row per selected event.
+
+    Standalone, only lepton candidates are isolation probes and the event
+    choice is an aggregation (``select_events``); with ``ep`` from
+    :func:`event_particles` the shared per-event table is reused.
+    """
+    if ep is not None:
+        selected = ep.where(F.col("is_lep")).select(
+            "event_id", "label", "met", "met_phi", *[f"lep_{c}" for c in LEPTON_FIELDS],
+            "lep_is_ele", "lep_is_mu")
+    else:
+        selected, _ = select_events(particles, events, cuts)
     jets = jet_summary(particles, cuts)
     j = selected.join(jets, "event_id", "left")
     vals = {

@@ -53,16 +53,19 @@ def preselect(events: DataFrame, maps: DataFrame) -> DataFrame:
     return gated.join(flags, "event_id", "left_semi")
 
 
-def isolated_particles(particles: DataFrame, cuts: Cuts = DEFAULT_CUTS) -> DataFrame:
+def isolated_particles(particles: DataFrame, cuts: Cuts = DEFAULT_CUTS,
+                       leptons_only: bool = False) -> DataFrame:
     """Map particles and lepton candidates with four-vectors and isolation.
 
     One grid join covers every probe the pipeline needs (leptons, tracks,
-    photons, neutrals), so the candidate maps are shuffled once.
+    photons, neutrals), so the candidate maps are shuffled once. With
+    ``leptons_only`` only lepton candidates are probes (enough for event
+    features).
     """
     maps = candidate_maps(particles, cuts)
     sp, pt = F.col("species"), F.col("pt")
-    probes = with_kinematics(particles.where(
-        map_condition(cuts) | (sp.isin("electron", "muon") & (pt > cuts.lep_pt))))
+    lep = sp.isin("electron", "muon") & (pt > cuts.lep_pt)
+    probes = with_kinematics(particles.where(lep if leptons_only else (map_condition(cuts) | lep)))
     return isolation(probes, maps, dr=cuts.dr, wrap=cuts.wrap, pi_approx=cuts.pi_approx)
 
 
@@ -99,7 +102,7 @@ def select_events(particles: DataFrame, events: DataFrame, cuts: Cuts = DEFAULT_
     Returns ``(selected, iso)``: ``selected`` has one row per accepted event
     (event columns + ``lep_*``); ``iso`` is :func:`isolated_particles`.
     """
-    iso = iso if iso is not None else isolated_particles(particles, cuts)
+    iso = iso if iso is not None else isolated_particles(particles, cuts, leptons_only=True)
     maps = candidate_maps(particles, cuts)
     pre = preselect(events, maps)
     lep = choose_lepton(iso.where(F.col("species").isin("electron", "muon")), cuts)

@@ -161,7 +161,8 @@ def q_lepton_select(spark, sf_dir):
 def q_track_overlap(spark, sf_dir):
     """Tracks of selected events kept and removed by the lepton overlap cut."""
     parts, events = fixture(spark, sf_dir)
-    sel, iso = SE.select_events(parts, events)
+    iso = SE.isolated_particles(parts)
+    sel, _ = SE.select_events(parts, events, iso=iso)
     tracks = iso.where(F.col("species") == "track")
     kept = SE.remove_overlap(tracks, sel).groupBy("event_id").agg(F.count(F.lit(1)).alias("n_kept"))
     allt = tracks.join(sel.select("event_id"), "event_id").groupBy("event_id").agg(

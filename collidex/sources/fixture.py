@@ -61,7 +61,9 @@ def fixture_particles(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Track copies of leptons via explode (one scan, not a self-union).
     copies = F.when(F.col("species").isin("electron", "muon"),
                     F.array(F.col("species"), F.lit("track"))).otherwise(F.array(F.col("species")))
-    return base.withColumn("species", F.explode(copies)).select(*base.columns)
+    # The explicit event-keyed exchange lets every consumer share one computed
+    # fixture (a ReusedExchange) instead of re-running the sort and window.
+    return base.withColumn("species", F.explode(copies)).select(*base.columns).repartition("event_id")
 
 
 def fixture_events(particles: DataFrame) -> DataFrame:
