@@ -71,6 +71,16 @@ def features_to_images(spark: SparkSession, features_dir: str, out: str, res: in
     return out
 
 
+def features_to_sequences(spark: SparkSession, features_dir: str, out: str) -> str:
+    """Sequence job: ordered, standardised particle sequences (F3) per event,
+    written as ``scaled_features`` arrays with the label (S7)."""
+    from collidex.operators.sequences import sequence_arrays, sequence_features
+    pf = spark.read.parquet(f"{features_dir}/particle_features")
+    seq = sequence_arrays(sequence_features(pf.drop("label")))
+    EV.write_sequences(seq.join(pf.select("event_id", "label").distinct(), "event_id"), out)
+    return out
+
+
 def main(argv=None):
     ap = argparse.ArgumentParser(description="collision events -> features -> images")
     ap.add_argument("qcd")

@@ -511,3 +511,16 @@ def q_image_struct(spark, sf_dir):
     s = F.col("image_struct")
     return enc.select("event_id", s["height"].alias("height"), s["width"].alias("width"),
                       s["nChannels"].alias("n_channels"), F.length(s["data"]).alias("n_bytes"))
+
+
+@query("inclusive_predict")
+def q_inclusive_predict(spark, sf_dir):
+    """M14 + M7/M9: pooled sequence and event features fanned into one vector,
+    a network trained on the train split and scored on test."""
+    parts, events = fixture(spark, sf_dir)
+    pf, ef = FE.features(parts, events)
+    inc = PR.key_split(SQ.inclusive_input(SQ.inclusive_features(SQ.sequence_features(pf), ef)),
+                       "event_id")
+    model = MD.train_network(inc.where(F.col("split") == "train"), layers=(52, 50, 20, 10, 3),
+                             max_iter=50)
+    return MD.score(model, inc.where(F.col("split") == "test"), keep=["event_id", "label"])

@@ -44,6 +44,11 @@ def test_jobs_round_trip(spark, scratch):
     assert m.select(F.min(F.size("lfeatures")), F.max(F.size("lfeatures"))).first() == (801, 801)
     stats = spark.read.csv(os.path.join(scratch, "stats")).first()
     assert sum(int(x) for x in stats) == nested.count()
+    seq = spark.read.parquet(jobs.features_to_sequences(spark, out, os.path.join(scratch, "seq")))
+    assert seq.count() == 145
+    n_real = pf.groupBy("event_id").count()
+    sizes = seq.select("event_id", F.size("scaled_features").alias("n")).join(n_real, "event_id")
+    assert sizes.where("n != count").count() == 0
     img = jobs.features_to_images(spark, out, os.path.join(scratch, "images"), res=10)
     px = spark.read.parquet(img)
     assert px.select("event_id").distinct().count() == 145

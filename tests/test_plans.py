@@ -39,7 +39,7 @@ def test_exchange_budget(spark, name, limit):
 
 def test_isolation_join_is_keyed_by_cell(spark):
     plan = _plan(spark, "isolation")
-    joins = re.findall(r"SortMergeJoin \[([^\]]*)\]", plan) + re.findall(r"ShuffledHashJoin \[([^\]]*)\]", plan)
+    joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) \[([^\]]*)\]", plan)
     assert any("ce" in j and "cp" in j and "event_id" in j for j in joins), joins
 
 
