@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from collidex.config import DEFAULT_CUTS, EVENT_FEATURES, PARTICLE_FEATURES, Cuts
 from collidex.functions.kinematics import delta_r, sign3, transverse_mass
-from collidex.operators.selection import LEPTON_FIELDS, cap, event_particles, select_events
+from collidex.operators.selection import (LEPTON_FIELDS, cap, event_particles, isolated_particles,
+                                         select_events)
 
 FEATURE_COLS = list(PARTICLE_FEATURES)
 EVENT_COLS = list(EVENT_FEATURES)
@@ -51,6 +52,46 @@ def _feature_rows(df: DataFrame) -> DataFrame:
     return df.select("event_id", "seq", "species", *[vals[c].alias(c) for c in FEATURE_COLS])
 
 
+def particle_features_skew_safe(particles: DataFrame, events: DataFrame,
+                                cuts: Cuts = DEFAULT_CUTS, n_blocks: int = 64) -> DataFrame:
+    """F1 without any window partitioned by event alone, for inputs where one
+    event may hold a large share of all rows.
+
+    The lepton choice and event gates are partial aggregations (one row per
+    event); overlap removal is a join with that per-event table, which AQE
+    can split when one event is skewed; caps use the blocked exact rank over
+    (event, species) ordered by ``pos``; matrix offsets are aggregated counts
+    joined back. Same result as :func:`particle_features`.
+    """
+    from collidex.operators.ordered import ordered_rank
+    iso = isolated_particles(particles, cuts)
+    selected, _ = select_events(particles, events, cuts, iso=iso)
+    sp = F.col("species")
+    lep = selected.select("event_id", "lep_p_eta", "lep_p_phi")
+    objs = iso.where(sp.isin("track", "photon", "neutral")).join(lep, "event_id")
+    d = delta_r("lep_p_eta", "lep_p_phi", "p_eta", "p_phi", cuts.pi_approx)
+    objs = objs.where((sp != "track") | (d > cuts.overlap_dr)).drop("lep_p_eta", "lep_p_phi")
+    caps = {"track": cuts.max_tracks, "photon": cuts.max_photons, "neutral": cuts.max_neutrals}
+    limit = F.lit(None).cast("int")
+    for s_, n in caps.items():
+        limit = F.when(sp == s_, F.lit(int(n))).otherwise(limit)
+    kept = (ordered_rank(objs, ["event_id", "species"], "pos", n_blocks=n_blocks)
+            .where(F.col("rank") <= limit))
+    counts = kept.groupBy("event_id").agg(
+        F.count(F.when(sp == "track", 1)).alias("n_trk"), F.count(F.when(sp == "photon", 1)).alias("n_pho"))
+    offset = F.when(sp == "track", 0).when(sp == "photon", F.col("n_trk")).otherwise(
+        F.col("n_trk") + F.col("n_pho"))
+    kept = (kept.join(counts, "event_id")
+            .withColumn("seq", (F.col("rank") + offset).cast("int"))
+            .withColumn("is_lep", F.lit(False)))
+    lep_rows = selected.select(
+        "event_id", F.lit(0).alias("seq"), F.lit(True).alias("is_lep"),
+        F.when(F.col("lep_is_ele") == 1.0, "electron").otherwise("muon").alias("species"),
+        *[F.col(f"lep_{c}") for c in LEPTON_FIELDS], "lep_is_ele", "lep_is_mu",
+        *[F.col(f"lep_{c}").alias(c) for c in ("iso_ch", "iso_gamma", "iso_neu")])
+    return _feature_rows(kept.unionByName(lep_rows, allowMissingColumns=True))
+
+
 def particle_features(particles: DataFrame, events: DataFrame, cuts: Cuts = DEFAULT_CUTS,
                       ep: DataFrame | None = None) -> DataFrame:
     """one row per kept particle of each selected event.

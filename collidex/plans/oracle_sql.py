@@ -310,3 +310,7 @@ ORACLE["image_blend"] = with_(_COV, f"""
 SELECT event_id, count(*) AS n_pixels, {r6('sum(r)')} AS sum_r, {r6('sum(g)')} AS sum_g, {r6('sum(b)')} AS sum_b,
        {r6('min(r)')} AS min_r
 FROM bl GROUP BY event_id""")
+
+# ------------------------------------------------- skew-safe formulations ---
+ORACLE["particle_features_skew_safe"] = ORACLE["particle_features"]
+ORACLE["sequence_scaled_skew_safe"] = ORACLE["sequence_scaled"]

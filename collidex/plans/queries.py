@@ -524,3 +524,19 @@ def q_inclusive_predict(spark, sf_dir):
     model = MD.train_network(inc.where(F.col("split") == "train"), layers=(52, 50, 20, 10, 3),
                              max_iter=50)
     return MD.score(model, inc.where(F.col("split") == "test"), keep=["event_id", "label"])
+
+
+# ------------------------------------------------- skew-safe formulations ---
+
+@query("particle_features_skew_safe")
+def q_particle_features_skew_safe(spark, sf_dir):
+    """F1 via aggregations, AQE-splittable joins and blocked exact ranks
+    (no window partitioned by event alone)."""
+    parts, events = fixture(spark, sf_dir)
+    return rounded(FE.particle_features_skew_safe(parts, events))
+
+
+@query("sequence_scaled_skew_safe")
+def q_sequence_scaled_skew_safe(spark, sf_dir):
+    """F3 via per-event aggregates joined back and a blocked exact rank."""
+    return rounded(SQ.sequence_features_skew_safe(_particle_features(spark, sf_dir)))

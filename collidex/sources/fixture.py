@@ -8,10 +8,13 @@ the fixture (see FIXTURES.md section 4).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from collidex import schemas
+from collidex.session import scratch_path
 
 _LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                   "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
@@ -61,9 +64,7 @@ def fixture_particles(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Track copies of leptons via explode (one scan, not a self-union).
     copies = F.when(F.col("species").isin("electron", "muon"),
                     F.array(F.col("species"), F.lit("track"))).otherwise(F.array(F.col("species")))
-    # The explicit event-keyed exchange lets every consumer share one computed
-    # fixture (a ReusedExchange) instead of re-running the sort and window.
-    return base.withColumn("species", F.explode(copies)).select(*base.columns).repartition("event_id")
+    return base.withColumn("species", F.explode(copies)).select(*base.columns)
 
 
 def fixture_events(particles: DataFrame) -> DataFrame:
@@ -78,9 +79,20 @@ def fixture_events(particles: DataFrame) -> DataFrame:
                 ((eid * 31 % 629 - 314) * F.lit(0.0097)).alias("met_phi")))
 
 
-def fixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(particles, events) of the fixture."""
+def fixture(spark: SparkSession, sf_dir: str, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(particles, events) of the fixture.
+
+    Every query reads the particles in several branches with different
+    column sets, so no exchange can be shared between them and the lineitem
+    sort + window would re-run per branch. The particles are therefore written
+    once, as a table under the shared checkpoint folder (this also cuts the
+    lineage), and each branch scans it with its own pruned columns.
+    """
     parts = fixture_particles(spark, sf_dir)
+    if materialize:
+        path = scratch_path(spark, f"fixture-particles-{uuid.uuid4().hex}")
+        parts.write.parquet(path)
+        parts = spark.read.parquet(path)
     return parts, fixture_events(parts)
 
 
