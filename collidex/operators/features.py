@@ -160,9 +160,23 @@ def event_features(particles: DataFrame, events: DataFrame, cuts: Cuts = DEFAULT
                     F.col("label").cast("int"))
 
 
-def features(particles: DataFrame, events: DataFrame, cuts: Cuts = DEFAULT_CUTS):
-    """(particle_features, event_features) sharing one selection/isolation plan."""
+def features(particles: DataFrame, events: DataFrame, cuts: Cuts = DEFAULT_CUTS,
+             materialize: bool = False):
+    """(particle_features, event_features) sharing one selection/isolation plan.
+
+    The two outputs prune different columns, so Spark cannot reuse the
+    isolation join between them when both are consumed by one plan. With
+    ``materialize`` the shared per-event table is written once under the
+    checkpoint folder and both outputs scan it.
+    """
     ep = event_particles(particles, events, cuts)
+    if materialize:
+        import uuid
+        from collidex.session import scratch_path
+        spark = ep.sparkSession
+        path = scratch_path(spark, f"event-particles-{uuid.uuid4().hex}")
+        ep.write.parquet(path)
+        ep = spark.read.parquet(path)
     return (particle_features(particles, events, cuts, ep),
             event_features(particles, events, cuts, ep))
 

@@ -314,3 +314,6 @@ FROM bl GROUP BY event_id""")
 # ------------------------------------------------- skew-safe formulations ---
 ORACLE["particle_features_skew_safe"] = ORACLE["particle_features"]
 ORACLE["sequence_scaled_skew_safe"] = ORACLE["sequence_scaled"]
+ORACLE["fixed_subset"] = with_(FIXTURE, f"""
+SELECT event_id, label FROM (SELECT event_id, label, row_number() OVER (ORDER BY {_MIX}) AS rk FROM fx_events)
+WHERE rk <= 500""")

@@ -255,7 +255,7 @@ def q_sequence_scaled(spark, sf_dir):
 def q_inclusive_features(spark, sf_dir):
     """pooled sequence summary joined to scaled event features."""
     parts, events = fixture(spark, sf_dir)
-    pf, ef = FE.features(parts, events)
+    pf, ef = FE.features(parts, events, materialize=True)
     return rounded(SQ.inclusive_features(SQ.sequence_features(pf), ef))
 
 
@@ -464,7 +464,7 @@ IMAGE_RES = 10  # coarse raster for the registered checks (50 x 31 pixels)
 
 def _image_inputs(spark, sf_dir):
     parts, events = fixture(spark, sf_dir)
-    return FE.features(parts, events)
+    return FE.features(parts, events, materialize=True)
 
 
 @query("image_points")
@@ -518,7 +518,7 @@ def q_inclusive_predict(spark, sf_dir):
     """M14 + M7/M9: pooled sequence and event features fanned into one vector,
     a network trained on the train split and scored on test."""
     parts, events = fixture(spark, sf_dir)
-    pf, ef = FE.features(parts, events)
+    pf, ef = FE.features(parts, events, materialize=True)
     inc = PR.key_split(SQ.inclusive_input(SQ.inclusive_features(SQ.sequence_features(pf), ef)),
                        "event_id")
     model = MD.train_network(inc.where(F.col("split") == "train"), layers=(52, 50, 20, 10, 3),
@@ -540,3 +540,10 @@ def q_particle_features_skew_safe(spark, sf_dir):
 def q_sequence_scaled_skew_safe(spark, sf_dir):
     """F3 via per-event aggregates joined back and a blocked exact rank."""
     return rounded(SQ.sequence_features_skew_safe(_particle_features(spark, sf_dir)))
+
+
+@query("fixed_subset")
+def q_fixed_subset(spark, sf_dir):
+    """M5: reproducible fixed-size sample of 500 events (sampling is the feature)."""
+    _, events = fixture(spark, sf_dir)
+    return PR.fixed_subset(events.select("event_id", "label"), 500)
