@@ -64,7 +64,7 @@ def wrap_sql(x: str, pi: float = 3.1415) -> str:
             f"WHEN ({x}) < -{d(pi)} THEN ({x}) + {d(2 * pi)} ELSE ({x}) END)")
 
 
-def pipeline(c: Cuts = DEFAULT_CUTS) -> str:
+def feature_ctes(c: Cuts = DEFAULT_CUTS) -> str:
     """CTEs from the fixture to selected events (sel), kept particles (pf) and
     event features (ef). Uses the legacy wrap rule."""
     tw = d(2 * c.pi_approx)

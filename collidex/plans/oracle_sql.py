@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collidex.config import DEFAULT_CUTS, EVENT_FEATURES, PARTICLE_FEATURES, TIGHT_CUTS
-from collidex.plans.oracle import FIXTURE, pipeline, r6, rounded, with_, wrap_sql
+from collidex.plans.oracle import FIXTURE, feature_ctes, r6, rounded, with_, wrap_sql
 
 ORACLE: dict[str, str] = {}
-P = pipeline(DEFAULT_CUTS)
+P = feature_ctes(DEFAULT_CUTS)
 
 ORACLE["events_scan"] = with_(FIXTURE, f"""
 SELECT event_id, label, electron_size AS Electron_size, muon_size AS MuonTight_size,
@@ -93,11 +93,11 @@ ORACLE["jets_ht"] = with_(P, f"SELECT event_id, {r6('nJets')} AS nJets, {r6('HT'
 
 _EF = ", ".join([r6(c) + f" AS {c}" for c in EVENT_FEATURES])
 ORACLE["event_features"] = with_(P, f"SELECT event_id, {_EF}, label FROM ef")
-ORACLE["event_features_tight"] = with_(pipeline(TIGHT_CUTS), f"SELECT event_id, {_EF}, label FROM ef")
+ORACLE["event_features_tight"] = with_(feature_ctes(TIGHT_CUTS), f"SELECT event_id, {_EF}, label FROM ef")
 _PF = rounded(list(PARTICLE_FEATURES))
 ORACLE["particle_features"] = with_(P, f"SELECT event_id, CAST(seq AS INTEGER) AS seq, species, {_PF} FROM pf")
 ORACLE["particle_caps"] = with_(
-    pipeline(DEFAULT_CUTS.with_(max_tracks=5, max_photons=3, max_neutrals=3)),
+    feature_ctes(DEFAULT_CUTS.with_(max_tracks=5, max_photons=3, max_neutrals=3)),
     f"SELECT event_id, CAST(seq AS INTEGER) AS seq, species, {rounded(['Pt', 'Eta', 'Phi', 'ChPFIso'])} FROM pf")
 
 # -------------------------------------------------------------- sequences ---

@@ -45,5 +45,9 @@ def test_isolation_join_is_keyed_by_cell(spark):
 
 def test_pushdown_to_scan(spark):
     plan = _plan(spark, "jets_ht")
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint" in plan
-    assert "l_shipdate" not in plan
+    assert "ReadSchema: struct<event_id:bigint,species:string,pt:double,eta:double,btag:int>" in plan
+    assert "EqualTo(species,jet)" in plan
+    from collidex.sources.fixture import fixture_particles
+    raw = fixture_particles(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint" in raw
+    assert "l_shipdate" not in raw
