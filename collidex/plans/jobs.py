@@ -19,7 +19,7 @@ from collidex.config import DEFAULT_CUTS, Cuts
 from collidex.operators import features as FE
 from collidex.operators import images as IM
 from collidex.operators.selection import event_particles
-from collidex.session import build_session, scratch_path
+from collidex.session import build_session, scratch_path, size_shuffles
 from collidex.sources import events as EV
 
 
@@ -34,8 +34,11 @@ def load_samples(spark: SparkSession, samples: dict[int, str]) -> DataFrame:
 
 def events_to_features(spark: SparkSession, samples: dict[int, str], out: str,
                        cuts: Cuts = DEFAULT_CUTS, matrix: bool = False,
-                       stats_path: str | None = None) -> dict[str, str]:
-    """E1. Returns the written table paths."""
+                       stats_path: str | None = None, auto_size: bool = True) -> dict[str, str]:
+    """E1. Returns the written table paths. ``auto_size`` sizes the shuffle
+    partition count from the input volume (see ``session.size_shuffles``)."""
+    if auto_size:
+        size_shuffles(spark, list(samples.values()))
     events = load_samples(spark, samples)
     if stats_path:
         EV.write_sample_stats(events, stats_path)

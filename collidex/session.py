@@ -54,3 +54,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A location for an intermediate table under the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (driver-side metadata listing only)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for st in fs.globStatus(path) or []:
+            total += fs.getContentSummary(st.getPath()).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, paths: list[str], expansion: float = 4.0,
+                  target_mb: int = 256, min_partitions: int = 200) -> int:
+    """Size the initial shuffle partition count from the input volume.
+
+    AQE can only coalesce shuffle partitions, never split them, so the
+    initial count must cover the largest shuffle: the isolation join moves
+    about ``expansion`` x the input (each probe goes to four cells). Sets the
+    initial count and the advisory size that AQE coalesces towards.
+    """
+    n = max(min_partitions, int(input_bytes(spark, paths) * expansion / (target_mb << 20)) + 1)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{target_mb}m")
+    return n

@@ -34,7 +34,7 @@ def test_jobs_round_trip(spark, scratch):
     nested, paths = _write_samples(spark, scratch)
     out = os.path.join(scratch, "features")
     written = jobs.events_to_features(spark, paths, out, matrix=True,
-                                      stats_path=os.path.join(scratch, "stats"))
+                                      stats_path=os.path.join(scratch, "stats"), auto_size=False)
     ef = spark.read.parquet(written["event_features"])
     pf = spark.read.parquet(written["particle_features"])
     assert ef.count() == 145                               # selected events at sf0.001
@@ -55,6 +55,17 @@ def test_jobs_round_trip(spark, scratch):
     assert px.where("r < 0 OR r > 1 OR g < 0 OR g > 1 OR b < 0 OR b > 1").count() == 0
 
 
+def test_size_shuffles(spark):
+    from collidex.session import input_bytes, size_shuffles
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert input_bytes(spark, [f"{SF0001}/*.parquet"]) > 0
+        assert size_shuffles(spark, [f"{SF0001}/*.parquet"], min_partitions=3) == 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
 def test_tables_and_scaling_log(spark, scratch):
     df = spark.createDataFrame([(4, 100.0), (1, 380.0), (2, 200.0)], "nodes int, elapsed_time double")
     p = os.path.join(scratch, "scaling.csv")
