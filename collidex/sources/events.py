@@ -27,10 +27,10 @@ def with_event_id(df: DataFrame) -> DataFrame:
     The key is recomputed identically when a lost task is re-run, unlike a
     generated sequence.
     """
-    if "event_id" in df.columns:
-        return df
-    return df.withColumn("event_id", F.xxhash64(F.col("_metadata.file_path"),
-                                                F.col("_metadata.row_index")))
+    gen = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    if "event_id" in df.columns:   # a read schema may carry the column with no values
+        return df.withColumn("event_id", F.coalesce(F.col("event_id"), gen))
+    return df.withColumn("event_id", gen)
 
 
 def select_required(df: DataFrame, names: list[str] | None = None) -> DataFrame:

@@ -55,6 +55,18 @@ def test_jobs_round_trip(spark, scratch):
     assert px.where("r < 0 OR r > 1 OR g < 0 OR g > 1 OR b < 0 OR b > 1").count() == 0
 
 
+def test_generated_event_ids(spark, scratch):
+    nested = fixture_nested_events(spark, SF0001)
+    p = os.path.join(scratch, "noid.parquet")
+    nested.drop("event_id").repartition(3).write.parquet(p)
+    df = jobs.load_samples(spark, {1: p})
+    ids = df.select("event_id").collect()
+    assert len(ids) == nested.count() and None not in {r.event_id for r in ids}
+    assert len({r.event_id for r in ids}) == len(ids)
+    assert sorted(r.event_id for r in jobs.load_samples(spark, {1: p}).select("event_id").collect()) == \
+        sorted(r.event_id for r in ids)   # stable when recomputed
+
+
 def test_size_shuffles(spark):
     from collidex.session import input_bytes, size_shuffles
     before = spark.conf.get("spark.sql.shuffle.partitions")
