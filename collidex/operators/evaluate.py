@@ -25,6 +25,11 @@ def label_counts(df: DataFrame, col: str = "label") -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), col)
 
 
+def class_counts(pred: DataFrame, col: str = "y_true") -> DataFrame:
+    """A4: counts of a class column (e.g. after argmax), most frequent first."""
+    return label_counts(pred, col)
+
+
 def split_counts(df: DataFrame, split_col: str = "split") -> DataFrame:
     """A3: rows per split."""
     return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("count"))

@@ -50,6 +50,11 @@ def assemble(df: DataFrame, cols=EVENT_FEATURES, out: str = "dense_features") ->
     return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df)
 
 
+def to_array(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """ML vector column -> array<double>."""
+    return df.withColumn(out or col, vector_to_array(F.col(col)))
+
+
 def vector_columns(df: DataFrame, col: str, n: int, prefix: str = "f") -> DataFrame:
     """Vector -> array -> one column per element."""
     arr = vector_to_array(F.col(col))
