@@ -53,7 +53,8 @@ def _feature_rows(df: DataFrame) -> DataFrame:
 
 
 def particle_features_skew_safe(particles: DataFrame, events: DataFrame,
-                                cuts: Cuts = DEFAULT_CUTS, n_blocks: int = 64) -> DataFrame:
+                                cuts: Cuts = DEFAULT_CUTS, n_blocks: int = 64,
+                                materialize: bool = True) -> DataFrame:
     """F1 without any window partitioned by event alone, for inputs where one
     event may hold a large share of all rows.
 
@@ -61,10 +62,19 @@ def particle_features_skew_safe(particles: DataFrame, events: DataFrame,
     event); overlap removal is a join with that per-event table, which AQE
     can split when one event is skewed; caps use the blocked exact rank over
     (event, species) ordered by ``pos``; matrix offsets are aggregated counts
-    joined back. Same result as :func:`particle_features`.
+    joined back. Same result as :func:`particle_features`. The isolation table
+    feeds two branches (lepton choice and object rows); with ``materialize`` it
+    is written once under the checkpoint folder instead of joined twice.
     """
     from collidex.operators.ordered import ordered_rank
     iso = isolated_particles(particles, cuts)
+    if materialize:
+        import uuid
+        from collidex.session import scratch_path
+        spark = iso.sparkSession
+        path = scratch_path(spark, f"isolated-{uuid.uuid4().hex}")
+        iso.write.parquet(path)
+        iso = spark.read.parquet(path)
     selected, _ = select_events(particles, events, cuts, iso=iso)
     sp = F.col("species")
     lep = selected.select("event_id", "lep_p_eta", "lep_p_phi")
