@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,12 +40,15 @@ def build_session(master: str | None = None, app: str = "collidex",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared folder and is used as is. Only
-    when it is unset (local tests) a fresh scratch folder is created.
+    On a cluster this setting names a shared folder and is used as is. Where it
+    is unset, a local master gets a fresh scratch folder; any other master is an
+    error, since its executors could not see each other's files.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master {sc.master})")
         d = tempfile.mkdtemp(prefix="collidex-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
