@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collidex.llm import decontamination, exact_dedup
+from collidex.llm import decontamination, exact_dedup, packing, token_counts
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.query,
     "op4_benchmark_decontamination": decontamination.query,
+    "op8_sum_of_squares_packing": packing.query,
+    "op10_bpe_token_counts": token_counts.query,
 }
 
 ORACLE = {
