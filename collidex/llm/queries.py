@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collidex.llm import decontamination, exact_dedup, jaccard_join, main_text, packing, quality, token_counts, toxicity, url_filter
+from collidex.llm import decontamination, exact_dedup, jaccard_join, main_text, packing, pii, quality, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_ngram_jaccard_join": jaccard_join.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_url_filter": url_filter.query,
     "op4_benchmark_decontamination": decontamination.query,
     "op5_quality_classifier": quality.query,
+    "op6_pii_surrogates": pii.query,
     "op7_toxicity": toxicity.query,
     "op8_sum_of_squares_packing": packing.query,
     "op9_main_text": main_text.query,

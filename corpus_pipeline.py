@@ -1,7 +1,59 @@
-"""Corpus pipeline: quality classifier, exact dedup, near-duplicate join, decontamination, packing."""
-STAGES = []
+"""Corpus pipeline: quality classifier, exact dedup, near-duplicate join, decontamination, packing.
+
+Each stage works on all rows its predecessor kept, written as Parquet and read again
+in between. All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from collidex.llm import decontamination, exact_dedup, jaccard_join, packing, quality
+from collidex.llm.common import saved, table, without_ids
+
+#: Low-quality documents go when the classifier gives label 1 less than this probability.
+KEEP_SCORE = 0.5
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, trained on all labels, does not reject."""
+    scores = quality.quality_scores(docs, table(spark, sf_dir, "labels"), threshold=KEEP_SCORE)
+    return without_ids(docs, scores.filter("predicted = 0 AND doc_id IS NOT NULL").select("doc_id"), "doc_id")
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts: that of the smallest doc_id."""
+    flags = exact_dedup.exact_dedup(docs)
+    return without_ids(docs, flags.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id"), "doc_id")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest doc_id."""
+    groups = jaccard_join.jaccard_join(docs)
+    return without_ids(docs, groups.filter("doc_id <> component_id").select("doc_id"), "doc_id")
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item (0.8 of its five-word shingles)."""
+    leaks = decontamination.contained_items(docs, table(spark, sf_dir, "benchmark"))
+    return without_ids(docs, leaks.select("doc_id"), "doc_id")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces of the remaining documents in sequences of 1024 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality classifier", keep_quality), ("exact dedup", drop_copies), ("n-gram Jaccard join", drop_near_copies),
+          ("benchmark decontamination", drop_leaks), ("best-fit packing", pack)]
+
+#: A trained model decides the first stage, which SQL cannot express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise ValueError("no stages yet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = saved(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    return docs
