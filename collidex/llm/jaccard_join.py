@@ -10,11 +10,14 @@ starts with pivots that are single shingles and recurses with documents as pivot
    last, then by hash. Two sets within distance 1 - t share one of their first
    n - ceil(t n) + 1 shingles, so a document enters the regions of these (its
    nearest pivot and the window around it), and no linked pair is separated.
-2. Regions of documents. Each region with two or more different sets takes one of
-   its documents as pivot; regions with the same pivot become one, so that a group
-   of near copies is handled once and not once per shared shingle.
-3. Windows of size. Linked sets differ in size by the factor t at most: a region is
-   cut into size rings, and each document also visits the next ring.
+2. Windows of size. Linked sets differ in size by the factor t at most: a region is
+   cut into size rings, and each document also visits the next ring. Documents with
+   too many shingles of their own for any partner there are dropped.
+3. Pairs of small regions (``small`` sets at most) are tested by the number of regions
+   they share, and those that may be similar enough by their sets.
+   Of larger regions, each takes one of its documents as pivot; regions with the same
+   pivot become one, so that a group of near copies is handled once and not once per
+   shared shingle.
 4. Recursion. While a region is larger than ``leaf``, distances to a new pivot are
    computed. Documents within 1 - t of the pivot are linked to it. All others are
    cut into distance rings of width 1 - t, and by the triangle inequality need to
@@ -34,7 +37,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from collidex.llm.common import only_ids, saved, table
@@ -51,16 +54,15 @@ def _scan(docs: DataFrame, k: int) -> DataFrame:
     def run(batches):
         counts, seen = np.zeros(1 << SKETCH_BITS, np.int64), set()
         for b in batches:
-            n, sig = [], []
+            n, sig, fresh = [], [], []
             for s in shingle_sets(b.column(1), k):
                 n.append(len(s))
                 sig.append(signature(s))
                 if sig[-1] not in seen:
                     seen.add(sig[-1])
-                    counts += np.bincount((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS) \
-                        if len(s) > 1 << 16 else 0
-                    if len(s) <= 1 << 16:
-                        np.add.at(counts, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+                    fresh.append((s >> np.uint64(64 - SKETCH_BITS)).astype(np.uint32))
+            if fresh:
+                counts += np.bincount(np.concatenate(fresh), minlength=1 << SKETCH_BITS)
             none = pa.nulls(len(n))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())],
@@ -97,12 +99,12 @@ def _frequent(scan: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, k: int, threshold: float, frequent: np.ndarray) -> DataFrame:
-    """``g, sig, n``: the regions of shingles that each different set enters."""
+    """``g, sig, n, pos``: the regions of shingles that each different set enters, in their order."""
 
     def run(batches):
         often, seen = np.unpackbits(frequent).astype(bool), set()
         for b in batches:
-            g, sig, n = [], [], []
+            g, sig, n, pos = [], [], [], []
             for s in shingle_sets(b.column(0), k):
                 if len(s) and (x := signature(s)) not in seen:
                     seen.add(x)
@@ -112,12 +114,13 @@ def _prefixes(docs: DataFrame, k: int, threshold: float, frequent: np.ndarray) -
                     g.append(np.concatenate([rare, s[late][:m - len(rare)]]))
                     sig.append(np.full(m, x, np.int64))
                     n.append(np.full(m, len(s), np.int64))
+                    pos.append(np.arange(m))
             if g:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(g).astype(np.int64)), pa.array(np.concatenate(sig)), pa.array(np.concatenate(n))],
-                    names=["g", "sig", "n"])
+                    [pa.array(np.concatenate(g).astype(np.int64)), pa.array(np.concatenate(sig)), pa.array(np.concatenate(n)),
+                     pa.array(np.concatenate(pos).astype(np.int32))], names=["g", "sig", "n", "pos"])
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(run, "g long, sig long, n long")
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "g long, sig long, n long, pos int")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -180,28 +183,91 @@ def _star(pdf: pd.DataFrame) -> pd.DataFrame:
                          "d": 1 - common / (len(c) + rest["n"] - common)})
 
 
-def _rings(members: DataFrame, value, step: float) -> DataFrame:
-    """Each member at home in its ring and a visitor in the next; rings without a pair to test go."""
+def _ringed(members: DataFrame, value, step: float) -> DataFrame:
+    """Each member at home in its ring and a visitor in the next; ``key`` then names region and ring."""
     ring = F.floor(value / step)
     m = members.withColumn("r", F.explode(F.array(ring, ring + 1))).withColumn("home", F.col("r") == ring)
-    m = m.withColumn("key", F.xxhash64("key", "r")).drop("r")
+    return m.withColumn("key", F.xxhash64("key", "r")).drop("r")
+
+
+def _with_company(m: DataFrame) -> DataFrame:
+    """Members of regions that have a pair to test, with the region's size ``c``."""
     size = m.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.col("home").cast("int")).alias("homes"))
     return m.join(size.filter("c > 1 AND homes > 0").drop("homes"), "key")
 
 
-def links(docs: DataFrame, k: int, threshold: float, leaf: int = 256, depth: int = 2) -> tuple[DataFrame, DataFrame]:
+def _regions(rows: DataFrame, threshold: float) -> DataFrame:
+    """``key, sig, n, spare, home, c, low``: the regions of shingles, cut into size rings.
+
+    In a shingle's region, all shingles ranked before it that no other set's window has
+    are in one set alone. Two linked sets differ in (1 - t) / (1 + t) of their summed sizes
+    at most, so a set whose lone shingles exceed what the best partner there leaves it goes.
+    """
+    several = rows.groupBy("g").agg(F.min("sig").alias("low"), F.max("sig").alias("high")).filter("low <> high").select("g")
+    shared = rows.join(several, "g").dropDuplicates(["g", "sig"])
+    lone = F.col("pos") - F.row_number().over(Window.partitionBy("sig").orderBy("pos")) + 1      # one document's rows
+    spare = lone - F.col("n") * ((1 - threshold) / (1 + threshold))
+    shared = shared.select(F.col("g").alias("key"), "sig", "n", spare.alias("spare"))
+    shared = saved(_ringed(shared, F.log(F.col("n")), -math.log(threshold) * (1 + 1e-9)), "shared")
+    best = shared.groupBy("key").agg(F.min("spare").alias("best"), F.count("*").alias("c"), F.min("sig").alias("low"),
+                                     F.max("home").alias("homes")).filter("c > 1 AND homes")
+    return saved(shared.join(best.drop("homes"), "key").filter("spare + best <= 1e-9").drop("best"), "rings")
+
+
+def _pairs(rows: DataFrame, threshold: float, small: int) -> DataFrame:
+    """``a, b``: pairs of the regions of at most ``small`` sets that may be similar enough.
+
+    Beyond the common shingles counted here and those in larger regions, two sets can only
+    share what lies outside both windows.
+    """
+    window = lambda n: F.col(n) - F.ceil(F.col(n) * threshold - 1e-9) + 1      # noqa: E731
+    r = rows.filter(F.col("c") <= small).select("key", "sig", "n", "spare", "home")
+    two = r.select("key", *[F.col(c).alias(c + "2") for c in ("sig", "n", "spare", "home")])
+    pairs = (r.join(two, "key").filter("sig < sig2 AND (home OR home2) AND spare + spare2 <= 1e-9")
+              .filter(F.least("n", "n2") >= F.greatest("n", "n2") * threshold - 1e-9)
+              .groupBy("sig", "sig2").agg(F.count("*").alias("shared"), F.min("n").alias("n"), F.min("n2").alias("n2")))
+    hidden = rows.filter(F.col("c") > small).groupBy("sig").agg(F.count("*").alias("hidden"))
+    pairs = (pairs.join(hidden, "sig", "left").join(hidden.select(F.col("sig").alias("sig2"), F.col("hidden").alias("hidden2")), "sig2", "left"))
+    most = (F.col("shared") + F.least(F.coalesce("hidden", F.lit(0)), F.coalesce("hidden2", F.lit(0)))
+            + F.greatest(F.col("n") - window("n"), F.col("n2") - window("n2")))
+    return pairs.filter(most >= (F.col("n") + F.col("n2")) * (threshold / (1 + threshold)) - 1e-6).select(
+        F.col("sig").alias("a"), F.col("sig2").alias("b"))
+
+
+def _members(rows: DataFrame, threshold: float, small: int) -> DataFrame:
+    """``key, sig, n, home, c``: the larger regions, those of one pivot as one."""
+    ring = F.floor(F.log(F.col("n")) / (-math.log(threshold) * (1 + 1e-9))) + F.when(F.col("home"), 0).otherwise(1)
+    return _with_company(rows.filter(F.col("c") > small).select(F.xxhash64("low", ring).alias("key"), "sig", "n", "home").distinct())
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    @F.pandas_udf("boolean")
+    def similar(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        for a, b in zip(x, y):
+            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            out.append(both >= threshold * (len(a) + len(b) - both) - 1e-6)
+        return pd.Series(out, dtype=bool)
+
+    one, two = sets.select(F.col("sig").alias("a"), F.col("set").alias("x")), sets.select(F.col("sig").alias("b"), F.col("set").alias("y"))
+    return pairs.join(one, "a").join(two, "b").filter(similar("x", "y")).select("a", "b")
+
+
+def links(docs: DataFrame, k: int, threshold: float, small: int = 64, leaf: int = 256, depth: int = 2) -> tuple[DataFrame, DataFrame]:
     """(``doc_id, n, sig`` of every row, ``a, b``: links between signatures that connect all linked sets)."""
     step = 1 - threshold
     scan = saved(_scan(docs, k), "shingle-scan")
     ids = scan.filter("slice IS NULL").select("doc_id", "n", "sig")
     rows = saved(_prefixes(docs, k, threshold, _frequent(scan)), "prefixes")
-    pivots = rows.groupBy("g").agg(F.min("sig").alias("key"), F.max("sig").alias("last")).filter("key <> last").select("g", "key")
-    members = rows.join(pivots, "g").select("key", "sig", "n").distinct()
-    members = saved(_rings(members, F.log(F.col("n")), -math.log(threshold) * (1 + 1e-9)), "regions")
+    rows = _regions(rows, threshold)
+    pairs = saved(_pairs(rows, threshold, small), "pairs")
+    members = saved(_members(rows, threshold, small), "regions")
 
-    first = ids.filter("doc_id IS NOT NULL").join(members.select("sig").distinct(), "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
+    needed = members.select("sig").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    first = ids.filter("doc_id IS NOT NULL").join(needed, "sig", "left_semi").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
     sets = saved(_sets(only_ids(docs.select("doc_id", "text"), first.select("doc_id"), "doc_id"), k).distinct(), "sets")
-    found = []
+    found = [_verified(pairs, sets, threshold)]
     for level in range(depth + 1):
         large = members.filter(F.col("c") > leaf)
         if level == depth or large.isEmpty():
@@ -215,7 +281,7 @@ def links(docs: DataFrame, k: int, threshold: float, leaf: int = 256, depth: int
         star = saved(star, "star")
         found.append(star.filter((F.col("d") <= step + 1e-9) & (F.col("p") != F.col("sig"))).select(F.col("p").alias("a"), F.col("sig").alias("b")))
         # those within 1 - t of the pivot are linked through it: ring 0 has no home of its own
-        ring = _rings(star.select("key", "sig", "n", "d"), F.col("d"), step * (1 + 1e-9)).withColumn("inner", F.col("home") & (F.col("d") <= step))
+        ring = _with_company(_ringed(star.select("key", "sig", "n", "d"), F.col("d"), step * (1 + 1e-9))).withColumn("inner", F.col("home") & (F.col("d") <= step))
         alive = ring.groupBy("key").agg(F.max(~F.col("inner") & F.col("home")).alias("alive")).filter("alive").select("key")
         found.append(_leaves(members.filter(F.col("c") <= leaf), sets, leaf, threshold))
         members = saved(ring.join(alive, "key", "left_semi").select("key", "sig", "n", "home", "c"), "regions")
