@@ -34,8 +34,8 @@ from collidex.llm.quality import learnable, sample_of
 
 SIGNS, SPAN, DECAY = 40, 7, 0.7
 #: Most labelled rows that training uses.
-MAX_TRAIN_ROWS = 6_000
-LANDMARKS, NEGATIVES, HARD = 320, 5_000, 500
+MAX_TRAIN_ROWS = 3_000
+LANDMARKS, NEGATIVES, HARD = 240, 2_500, 400
 CACHE_WORDS = 400_000
 OFFSETS = [c for size in (2, 3) for c in combinations(range(1, SPAN), size)]     # of the signs after the first
 #: Signs often put for letters.
@@ -186,7 +186,7 @@ def _train(pdf: pd.DataFrame) -> pd.DataFrame:
     negatives = [common[i] for i in rng.permutation(len(common))[:NEGATIVES]]
     toxic_docs = [sorted(u) for u, t in zip(docs, y) if t and u]
     model, hard = None, []
-    for _ in range(4):
+    for _ in range(3):
         positives = [w for w, _ in worst.most_common(NEGATIVES)]
         marks = [positives[i] for i in rng.permutation(len(positives))[:LANDMARKS // 2]]
         marks += [hard[i] for i in rng.permutation(len(hard))[:LANDMARKS // 4]]
