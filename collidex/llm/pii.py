@@ -41,13 +41,14 @@ PATTERN = re.compile("|".join([
     r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)",
     r"(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))",
     r"(?P<ip6>(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:]))",
-    r"(?P<card>(?<![\w-])(?:\d[ -]?){12,18}\d(?![\w-]))",
+    r"(?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]))",
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
     r"(?P<phone>(?<![\w.+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4}|(?<=\d[ .-])\d{2,4}(?:[ .-]?\d{2,4}){2,3}|0\d{2,4}[ /-]\d{5,8})(?![\w]))",
     r"(?P<hex>\b(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})\b)",
     rf"(?P<name>\b(?:{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? {_NAME}(?: {_NAME})?)",
 ]))
 
+KINDS = [k for k in PATTERN.groupindex if k not in ("value", "sep")]
 COUNTRY = re.compile(r"\A\+\d{1,3}[ .-]?(?=[(\d])")
 
 
@@ -80,9 +81,9 @@ def _canonical(kind: str, text: str) -> str | None:
 def mentions(text: str | None):
     """(start, end, kind, canonical form) of each entity, in order, without overlaps."""
     for m in PATTERN.finditer(text or ""):
-        kind, at = m.lastgroup, m.span()
-        if kind == "value" or m["secret"]:
-            kind, at = "secret", m.span("value")
+        kind, at = next(k for k in KINDS if m[k] is not None), m.span()
+        if kind == "secret":
+            at = m.span("value")
         elif kind == "name":
             at = (m.start() + m[0].index(" ") + 1, m.end())
         canonical = _canonical(kind, m[0] if kind == "name" else text[slice(*at)])

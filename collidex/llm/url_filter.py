@@ -95,7 +95,7 @@ def url_filter(pages: DataFrame, rules=RULES, depth: int = 6, max_children: int
     judged = (tree.select("host", "domain", "shape", "template")
                   .join(stats(1, "domain", "shape"), ["domain", "shape"])
                   .join(stats(2, "host", "template"), ["host", "template"]))
-    prior = _purity(F.lit(b0), F.lit(l0), F.lit(0.0), weight)
+    prior = F.least(_purity(F.lit(b0), F.lit(l0), F.lit(0.0), weight), F.lit(0.5))      # alone, it rejects nothing
     for i in (1, 2):
         prior = _purity(F.col(f"b{i}"), F.col(f"l{i}"), prior, weight)
     judged = saved(judged.select("host", "shape", F.concat("host", "template").alias("template"), prior.alias("purity")), "url-templates")
