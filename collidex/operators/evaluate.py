@@ -146,7 +146,7 @@ def auc(long: DataFrame, group_cols=("class",), n_blocks: int = 64) -> DataFrame
         F.sum(F.col("neg") * (F.col("cum_pos") + F.col("pos") / F.lit(2.0))).alias("_a"),
         F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return area.select(*g, F.when((F.col("P") > 0) & (F.col("N") > 0),
-                                  F.col("_a") / (F.col("P") * F.col("N"))).alias("auc"))
+                                  F.col("_a") / (F.col("P").cast("double") * F.col("N"))).alias("auc"))
 
 
 def compare_models(long: DataFrame, model_col: str = "model") -> DataFrame:
