@@ -19,6 +19,8 @@ EVENT_FEATURES = (
     "HT", "MET", "phiMET", "MT", "nJets", "nBjets", "LepPt", "LepEta",
     "LepPhi", "LepIsoCh", "LepIsoGamma", "LepIsoNeu", "LepCharge", "LepIsEle",
 )
+# Most particles of each kind in the padded matrix.
+MATRIX_CAPS = {"max_tracks": 450, "max_photons": 150, "max_neutrals": 200}
 # Class labels.
 LABELS = {"qcd": 0, "ttbar": 1, "wjets": 2}
 
@@ -31,7 +33,8 @@ class Cuts:
     original rule: electron iff its eta is larger) or ``'pt'``.
     ``wrap`` is the phi treatment inside isolation cones: ``'legacy'`` only
     wraps differences beyond 2*3.1415 (cones do not cross +-pi in practice),
-    ``'periodic'`` wraps properly.
+    ``'periodic'`` wraps properly. Without caps (None) every particle is kept;
+    the padded matrix is made with ``with_matrix_caps()``.
     """
 
     lep_pt: float = 23.0
@@ -43,9 +46,9 @@ class Cuts:
     photon_et: float = 1.0
     neutral_et: float = 1.0
     overlap_dr: float = 1e-4
-    max_tracks: int = 450
-    max_photons: int = 150
-    max_neutrals: int = 200
+    max_tracks: int | None = None
+    max_photons: int | None = None
+    max_neutrals: int | None = None
     lepton_rank: str = "eta"
     wrap: str = "legacy"
     pi_approx: float = PI_APPROX
@@ -53,7 +56,12 @@ class Cuts:
     @property
     def n_rows(self) -> int:
         """Rows of the padded particle matrix: lepton + all caps."""
-        return 1 + self.max_tracks + self.max_photons + self.max_neutrals
+        c = self.with_matrix_caps()
+        return 1 + c.max_tracks + c.max_photons + c.max_neutrals
+
+    def with_matrix_caps(self) -> "Cuts":
+        """These cuts with the matrix's caps where no cap is set."""
+        return self.with_(**{k: n for k, n in MATRIX_CAPS.items() if getattr(self, k) is None})
 
     def with_(self, **kw) -> "Cuts":
         return replace(self, **kw)

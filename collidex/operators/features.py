@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from collidex.config import DEFAULT_CUTS, EVENT_FEATURES, PARTICLE_FEATURES, Cuts
 from collidex.functions.kinematics import delta_r, sign3, transverse_mass
-from collidex.operators.selection import (LEPTON_FIELDS, cap, event_particles, isolated_particles,
+from collidex.operators.selection import (LEPTON_FIELDS, cap, event_particles, isolated_particles, within_caps,
                                          select_events)
 
 FEATURE_COLS = list(PARTICLE_FEATURES)
@@ -82,11 +82,8 @@ def particle_features_skew_safe(particles: DataFrame, events: DataFrame,
     d = delta_r("lep_p_eta", "lep_p_phi", "p_eta", "p_phi", cuts.pi_approx)
     objs = objs.where((sp != "track") | (d > cuts.overlap_dr)).drop("lep_p_eta", "lep_p_phi")
     caps = {"track": cuts.max_tracks, "photon": cuts.max_photons, "neutral": cuts.max_neutrals}
-    limit = F.lit(None).cast("int")
-    for s_, n in caps.items():
-        limit = F.when(sp == s_, F.lit(int(n))).otherwise(limit)
     kept = (ordered_rank(objs, ["event_id", "species"], "pos", n_blocks=n_blocks)
-            .where(F.col("rank") <= limit))
+            .where(within_caps(caps)))
     counts = kept.groupBy("event_id").agg(
         F.count(F.when(sp == "track", 1)).alias("n_trk"), F.count(F.when(sp == "photon", 1)).alias("n_pho"))
     offset = F.when(sp == "track", 0).when(sp == "photon", F.col("n_trk")).otherwise(

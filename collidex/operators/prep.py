@@ -15,18 +15,20 @@ from collidex.operators.ordered import ordered_rank
 
 HASH_MOD = 4294967296
 PRE_MOD = 2147483648
-GOLDEN = 2654435761
+GOLDEN, MID, TOP = 2654435761, 2246822519, 668265263
 
 
 def mix_key(key) -> Column:
     """Deterministic pseudo-random order key in [0, 2^32) from an integer key.
 
-    Multiplicative (golden-ratio) hashing: injective on keys below 2^31, the
-    same on every re-run of a task, plain integer arithmetic in any engine,
-    and the product stays below 2^63.
+    Multiplicative (golden-ratio) hashing of all 64 bits in pieces of 31, 31 and
+    2: injective on keys from 0 to 2^31 - 1, even over negative and hashed keys,
+    the same on every re-run of a task, and no product reaches 2^63.
     """
     k = F.col(key) if isinstance(key, str) else key
-    return ((k % PRE_MOD) * GOLDEN) % HASH_MOD
+    k = k.cast("long")
+    low, mid, top = (F.pmod(F.shiftright(k, n), F.lit(m)) for n, m in ((0, PRE_MOD), (31, PRE_MOD), (62, 4)))
+    return (low * GOLDEN % HASH_MOD + mid * MID % HASH_MOD + top * TOP) % HASH_MOD
 
 
 def key_split(df: DataFrame, key: str, test_fraction: float = 0.2, col: str = "split") -> DataFrame:
@@ -91,7 +93,7 @@ def undersample(df: DataFrame, label: str = "label", key: str = "event_id",
     becomes a single window partition.
     """
     m = df.groupBy(label).count().agg(F.min("count")).first()[0] or 0
-    r = ordered_rank(df.withColumn("_mk", mix_key(key)), [label], "_mk", n_blocks=n_blocks)
+    r = ordered_rank(df.withColumn("_mk", mix_key(key)), [label], "_mk", n_blocks=n_blocks, tiebreak=[key])
     return r.where(F.col("rank") <= m).drop("_mk", "rank")
 
 
@@ -106,5 +108,5 @@ def fixed_subset(df: DataFrame, n: int, key: str = "event_id", n_blocks: int = 6
     """M5: exactly ``n`` rows (or all, if fewer) in mixed-key order - a
     reproducible fixed-size sample. The rank is the blocked exact rank, so no
     single task orders the whole table."""
-    r = ordered_rank(df.withColumn("_mk", mix_key(key)), [], "_mk", n_blocks=n_blocks)
+    r = ordered_rank(df.withColumn("_mk", mix_key(key)), [], "_mk", n_blocks=n_blocks, tiebreak=[key])
     return r.where(F.col("rank") <= int(n)).drop("_mk", "rank")

@@ -4,7 +4,7 @@ selected-event restriction (J3) and per-species caps (W3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from collidex.config import DEFAULT_CUTS, Cuts
@@ -119,18 +119,22 @@ def remove_overlap(tracks: DataFrame, selected: DataFrame, cuts: Cuts = DEFAULT_
     return tracks.join(lep, "event_id").where(d > cuts.overlap_dr).drop("lep_p_eta", "lep_p_phi")
 
 
-def cap(particles: DataFrame, caps: dict[str, int]) -> DataFrame:
+def within_caps(caps: dict[str, int | None]) -> Column:
+    """W3 condition on ``species`` and ``rank``; a cap of None holds for every rank."""
+    keep = F.lit(False)
+    for s, n in caps.items():
+        keep = F.when(F.col("species") == s, F.lit(True) if n is None else F.col("rank") <= int(n)).otherwise(keep)
+    return keep
+
+
+def cap(particles: DataFrame, caps: dict[str, int | None]) -> DataFrame:
     """Keep the first ``caps[species]`` rows per (event, species) in ``pos`` order.
 
-    Adds ``rank`` (1-based). The window is partitioned by event, so it reuses
+    Adds ``rank`` (1-based); a cap of None keeps all rows. The window is partitioned by event, so it reuses
     the event-keyed partitioning of the preceding join.
     """
     w = Window.partitionBy("event_id", "species").orderBy("pos")
-    limit = F.lit(None).cast("int")
-    for s, n in caps.items():
-        limit = F.when(F.col("species") == s, F.lit(int(n))).otherwise(limit)
-    return (particles.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= limit))
+    return particles.withColumn("rank", F.row_number().over(w)).where(within_caps(caps))
 
 
 def event_particles(particles: DataFrame, events: DataFrame, cuts: Cuts = DEFAULT_CUTS,

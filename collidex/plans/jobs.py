@@ -10,7 +10,7 @@ label so class-wise reads prune files.
 from __future__ import annotations
 
 import argparse
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,27 +23,32 @@ from collidex.session import build_session, scratch_path, size_shuffles
 from collidex.sources import events as EV
 
 
-def load_samples(spark: SparkSession, samples: dict[int, str]) -> DataFrame:
-    """Scan each class sample, keep required columns, tag, union."""
+def load_samples(spark: SparkSession, samples: dict[int, str], own_ids: bool = False) -> DataFrame:
+    """Scan each class sample, keep required columns, tag, union.
+
+    Files that each number their events from 1 stay apart: keys are made from sample,
+    file and row unless ``own_ids`` says that the files' ids are unique over all of them.
+    """
     tagged = []
     for label, path in samples.items():
-        df = EV.with_event_id(EV.read_events(spark, path))
+        df = EV.with_event_id(EV.read_events(spark, path), label, own_ids)
         tagged.append(EV.tag(EV.select_required(df), label))
     return EV.union_samples(tagged)
 
 
 def events_to_features(spark: SparkSession, samples: dict[int, str], out: str,
                        cuts: Cuts = DEFAULT_CUTS, matrix: bool = False,
-                       stats_path: str | None = None, auto_size: bool = True) -> dict[str, str]:
+                       stats_path: str | None = None, auto_size: bool = True,
+                       own_ids: bool = False) -> dict[str, str]:
     """E1. Returns the written table paths. ``auto_size`` sizes the shuffle
     partition count from the input volume (see ``session.size_shuffles``)."""
     if auto_size:
         size_shuffles(spark, list(samples.values()))
-    events = load_samples(spark, samples)
+    events = load_samples(spark, samples, own_ids)
     if stats_path:
         EV.write_sample_stats(events, stats_path)
     parts, info = EV.explode_particles(events), EV.event_info(events)
-    ep_path = scratch_path(spark, f"event_particles-{os.path.basename(out.rstrip('/'))}")
+    ep_path = scratch_path(spark, f"event_particles-{uuid.uuid4().hex}")
     event_particles(parts, info, cuts).write.mode("overwrite").parquet(ep_path)
     ep = spark.read.parquet(ep_path)
     paths = {"particle_features": f"{out}/particle_features", "event_features": f"{out}/event_features"}
@@ -54,7 +59,7 @@ def events_to_features(spark: SparkSession, samples: dict[int, str], out: str,
     EV.write_features(ef, paths["event_features"], partition_by=["label"])
     if matrix:
         paths["matrix"] = f"{out}/matrix"
-        lf = FE.assemble_lfeatures(spark.read.parquet(paths["particle_features"]), cuts.n_rows)
+        lf = FE.assemble_lfeatures(FE.particle_features(parts, info, cuts.with_matrix_caps(), ep=ep), cuts.n_rows)
         hf = FE.assemble_hfeatures(spark.read.parquet(paths["event_features"]), as_vector=True)
         EV.write_features(lf.join(hf, "event_id"), paths["matrix"])
     return paths
@@ -80,7 +85,7 @@ def features_to_sequences(spark: SparkSession, features_dir: str, out: str) -> s
     from collidex.operators.sequences import sequence_arrays, sequence_features
     pf = spark.read.parquet(f"{features_dir}/particle_features")
     seq = sequence_arrays(sequence_features(pf.drop("label")))
-    EV.write_sequences(seq.join(pf.select("event_id", "label").distinct(), "event_id"), out)
+    EV.write_sequences(seq.join(pf.where("seq = 0").select("event_id", "label"), "event_id"), out)
     return out
 
 

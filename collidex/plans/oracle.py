@@ -64,6 +64,10 @@ def wrap_sql(x: str, pi: float = 3.1415) -> str:
             f"WHEN ({x}) < -{d(pi)} THEN ({x}) + {d(2 * pi)} ELSE ({x}) END)")
 
 
+def most(cap: int | None) -> str:
+    return "rnk" if cap is None else str(cap)
+
+
 def feature_ctes(c: Cuts = DEFAULT_CUTS) -> str:
     """CTEs from the fixture to selected events (sel), kept particles (pf) and
     event features (ef). Uses the legacy wrap rule."""
@@ -141,8 +145,8 @@ obj AS (
 kept0 AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY event_id, species ORDER BY pos) AS rnk FROM obj)
-  WHERE rnk <= CASE species WHEN 'track' THEN {c.max_tracks} WHEN 'photon' THEN {c.max_photons}
-                            ELSE {c.max_neutrals} END),
+  WHERE rnk <= CASE species WHEN 'track' THEN {most(c.max_tracks)} WHEN 'photon' THEN {most(c.max_photons)}
+                            ELSE {most(c.max_neutrals)} END),
 kept AS (
   SELECT k.*, CAST(k.rnk + CASE k.species WHEN 'track' THEN 0 WHEN 'photon' THEN n.nt
                                ELSE n.nt + n.np END AS INTEGER) AS seq

@@ -102,8 +102,9 @@ ORACLE["particle_caps"] = with_(
 
 # -------------------------------------------------------------- sequences ---
 _FC = list(PARTICLE_FEATURES)
-ORACLE["lfeatures"] = with_(P, f"SELECT event_id, CAST(seq AS INTEGER) AS row, {_PF} FROM pf")
-ORACLE["lfeatures_size"] = with_(P, f"""
+_MATRIX = feature_ctes(DEFAULT_CUTS.with_(max_tracks=450, max_photons=150, max_neutrals=200))
+ORACLE["lfeatures"] = with_(_MATRIX, f"SELECT event_id, CAST(seq AS INTEGER) AS row, {_PF} FROM pf")
+ORACLE["lfeatures_size"] = with_(_MATRIX, f"""
 SELECT event_id, CAST(greatest(count(*), {DEFAULT_CUTS.n_rows}) AS INTEGER) AS n_rows,
        CAST(19 AS INTEGER) AS n_cols, CAST(count(*) AS INTEGER) AS n_real
 FROM pf GROUP BY event_id""")

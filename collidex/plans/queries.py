@@ -225,7 +225,7 @@ from collidex.operators import sequences as SQ  # noqa: E402
 @query("lfeatures")
 def q_lfeatures(spark, sf_dir):
     """Padded particle matrix, checked in flat form (real rows only)."""
-    lf = FE.assemble_lfeatures(_particle_features(spark, sf_dir))
+    lf = FE.assemble_lfeatures(_particle_features(spark, sf_dir, DEFAULT_CUTS.with_matrix_caps()))
     rows = lf.select("event_id", F.posexplode("lfeatures").alias("row", "f"))
     rows = rows.where(F.exists("f", lambda v: v != 0))
     return rounded(rows.select("event_id", F.col("row").cast("int").alias("row"),
@@ -235,7 +235,7 @@ def q_lfeatures(spark, sf_dir):
 @query("lfeatures_size")
 def q_lfeatures_size(spark, sf_dir):
     """Matrix sizes (801 x 19) and non-padding row counts."""
-    return FE.nested_sizes(FE.assemble_lfeatures(_particle_features(spark, sf_dir)))
+    return FE.nested_sizes(FE.assemble_lfeatures(_particle_features(spark, sf_dir, DEFAULT_CUTS.with_matrix_caps())))
 
 
 @query("sequence_order")

@@ -21,14 +21,17 @@ def read_events(spark: SparkSession, path: str | list[str], schema=schemas.EVENT
     return spark.read.schema(schema).parquet(*paths)
 
 
-def with_event_id(df: DataFrame) -> DataFrame:
-    """Give rows from Parquet files a stable key: hash of file path and row index.
+def with_event_id(df: DataFrame, sample: int = 0, own_ids: bool = True) -> DataFrame:
+    """Give rows from Parquet files a stable key: hash of sample, file path and row index.
+
+    ``own_ids`` keeps a file's own ``event_id`` where it has one, for inputs whose ids
+    are unique over all files of all samples; otherwise own ids are not used.
 
     The key is recomputed identically when a lost task is re-run, unlike a
     generated sequence.
     """
-    gen = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-    if "event_id" in df.columns:   # a read schema may carry the column with no values
+    gen = F.xxhash64(F.lit(int(sample)), F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    if own_ids and "event_id" in df.columns:   # a read schema may carry the column with no values
         return df.withColumn("event_id", F.coalesce(F.col("event_id"), gen))
     return df.withColumn("event_id", gen)
 

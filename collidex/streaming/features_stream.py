@@ -35,10 +35,14 @@ def feature_batch(batch: DataFrame, batch_id: int, out: str, cuts: Cuts) -> None
 
 def start_feature_stream(spark: SparkSession, input_dir: str, out: str, cuts: Cuts = DEFAULT_CUTS,
                          checkpoint: str | None = None, once: bool = False,
-                         max_files_per_trigger: int = 64) -> StreamingQuery:
-    """Watch ``input_dir`` for nested event Parquet files and append features to ``out``."""
+                         max_files_per_trigger: int = 64, own_ids: bool = False) -> StreamingQuery:
+    """Watch ``input_dir`` for nested event Parquet files and append features to ``out``.
+
+    Event keys follow the batch job's rule (``sources.events.with_event_id``).
+    """
     src = (spark.readStream.schema(schemas.EVENT).option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(input_dir))
+    src = EV.with_event_id(src, own_ids=own_ids)
     w = (src.writeStream.foreachBatch(lambda df, bid: feature_batch(df, bid, out, cuts))
          .option("checkpointLocation", checkpoint or scratch_path(spark, "feature-stream")))
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="30 seconds")

@@ -39,7 +39,7 @@ def _check(spark, evs, cuts, caps):
 
 
 def test_edge_events(spark):
-    _check(spark, edge_events(), DEFAULT_CUTS, (450, 150, 200))
+    _check(spark, edge_events(), DEFAULT_CUTS, (None, None, None))
 
 
 def test_edge_events_small_caps(spark):
@@ -49,7 +49,7 @@ def test_edge_events_small_caps(spark):
 
 @pytest.mark.parametrize("seed", [3, 11])
 def test_random_events(spark, seed):
-    _check(spark, random_events(40, seed), DEFAULT_CUTS, (450, 150, 200))
+    _check(spark, random_events(40, seed), DEFAULT_CUTS, (None, None, None))
 
 
 def test_selected_edge_cases(spark):
@@ -65,3 +65,10 @@ def test_padded_matrix(spark):
     pf, _ = FE.features(EV.explode_particles(df), EV.event_info(df))
     sizes = FE.nested_sizes(FE.assemble_lfeatures(pf)).collect()
     assert sizes and all(r["n_rows"] == DEFAULT_CUTS.n_rows and r["n_cols"] == 19 for r in sizes)
+
+
+def test_no_particle_is_lost_without_caps(spark):
+    ev = next(e for e in random_events(40, 3) if rowmodel.model(e) is not None)
+    tracks = [dict(ev["EFlowTrack"][0], PT=1.0 + 0.001 * i, Eta=2.0 + 0.00053 * i) for i in range(1000)]
+    ev = dict(ev, EFlowTrack=ev["EFlowTrack"] + tracks)
+    _check(spark, [ev], DEFAULT_CUTS, (None, None, None))
