@@ -35,7 +35,7 @@ SYLLABLES = {"latin": "an bel cor dan el far gar hol in jan kel lor mar nor or p
 
 _NAME = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][\w'’-]*[a-zß-öø-ÿа-яё]"
 PATTERN = re.compile("|".join([
-    r"(?P<email>[A-Za-z0-9][\w.%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})",
+    r"(?P<email>[A-Za-z0-9][\w.%+-]{0,63}+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})",
     r"(?P<key>\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9_-]{20,}|\beyJ[\w-]{10,}\.[\w-]{10,}\.[\w-]{5,})",
     r"(?P<secret>(?i:\b(?:password|passwd|pwd|secret|token|api_?key)\b[\"']?\s*[=:]\s*[\"']?)(?P<value>[^\s\"',;]{4,}))",
     r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)",
@@ -49,6 +49,10 @@ PATTERN = re.compile("|".join([
 ]))
 
 KINDS = [k for k in PATTERN.groupindex if k not in ("value", "sep")]
+#: Signs without which no word begins an entity: in the word itself, or after it and white space for ``=`` and ``:``.
+SIGNS = re.compile(r"[@:=\d]")
+HEADS = [re.compile(r"AKIA|gh[pousr]_|sk-|eyJ"), re.compile(rf"(?:{'|'.join(TITLES)})(?!\w)")]
+SPACE = re.compile(r"\s")
 COUNTRY = re.compile(r"\A\+\d{1,3}[ .-]?(?=[(\d])")
 
 
@@ -78,9 +82,30 @@ def _canonical(kind: str, text: str) -> str | None:
     return text
 
 
+def _matches(text: str):
+    """The matches of ``PATTERN.finditer``, tried only in words in which one can begin (most words of prose hold none)."""
+    done = 0
+    for at in sorted(m.start() for p in (SIGNS, *HEADS) for m in p.finditer(text)):
+        if at < done:
+            continue
+        start = at
+        while start > done and text[at] in "=:" and text[start - 1].isspace():
+            start -= 1
+        while start > done and not text[start - 1].isspace():
+            start -= 1
+        space = SPACE.search(text, at)
+        end = space.start() if space else len(text)
+        while start < end:
+            m = PATTERN.match(text, start)
+            if m:
+                yield m
+            start = m.end() if m else start + 1
+        done = start
+
+
 def mentions(text: str | None):
     """(start, end, kind, canonical form) of each entity, in order, without overlaps."""
-    for m in PATTERN.finditer(text or ""):
+    for m in _matches(text or ""):
         kind, at = next(k for k in KINDS if m[k] is not None), m.span()
         if kind == "secret":
             at = m.span("value")
