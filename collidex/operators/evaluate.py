@@ -79,16 +79,19 @@ def loss_smooth(series: DataFrame, batch: int, group_cols=("trainer",)) -> DataF
 
 def confusion_matrix(pred: DataFrame, labels: list[int], y_true: str = "y_true",
                      y_pred: str = "y_pred") -> DataFrame:
-    """Counts with rows = true label and one column per predicted label,
-    zero-filled for every label in ``labels``; rows outside ``labels`` dropped."""
-    spark = pred.sparkSession
+    """Counts with rows = true label and one column per predicted label, zero-filled.
+
+    No row is lost: predictions outside ``labels`` (null too) count in ``pred_other``, and
+    true labels outside ``labels`` (null too) in the row whose label is null.
+    """
     lab = [int(x) for x in labels]
-    p = pred.where(F.col(y_true).isin(lab) & F.col(y_pred).isin(lab))
-    counts = p.groupBy(y_true).pivot(y_pred, lab).agg(F.count(F.lit(1)))
-    all_rows = spark.createDataFrame([(x,) for x in lab], f"{y_true} int")
-    return all_rows.join(counts, y_true, "left").select(
-        F.col(y_true).cast("int").alias(y_true),
-        *[F.coalesce(F.col(str(x)), F.lit(0)).cast("long").alias(f"pred_{x}") for x in lab])
+    t, p = F.col(y_true).cast("int"), F.col(y_pred)
+    counts = pred.select(F.when(t.isin(lab), t).alias(y_true), p.alias("_p")).groupBy(y_true).agg(
+        *[F.count_if(F.col("_p") == x).alias(f"pred_{x}") for x in lab],
+        F.count_if(F.coalesce(~F.col("_p").isin(lab), F.lit(True))).alias("pred_other"))
+    all_rows = pred.sparkSession.createDataFrame([(x,) for x in [*lab, None]], f"{y_true} int")
+    return all_rows.alias("a").join(F.broadcast(counts.alias("c")), F.col(f"a.{y_true}").eqNullSafe(F.col(f"c.{y_true}")), "left").select(
+        f"a.{y_true}", *[F.coalesce(f"c.{c}", F.lit(0)).cast("long").alias(c) for c in counts.columns[1:]])
 
 
 def accuracy(pred: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:

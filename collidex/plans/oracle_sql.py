@@ -139,23 +139,32 @@ SELECT p.event_id, p.seq_len,
 FROM pool p JOIN ef e USING (event_id), mm""")
 
 # ------------------------------------------------------------- evaluation ---
-_PRED = """emb_pred AS (
-  SELECT vec_id, label AS y_true, CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS y_pred
-  FROM (SELECT vec_id, label, embedding[1:10] AS s FROM embeddings))"""
 _CLS = "(SELECT CAST(unnest(range(10)) AS INTEGER) AS c)"
+_SCORES = f"""emb_long AS (
+  SELECT vec_id, label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS j FROM embeddings),
+emb_scores AS (
+  SELECT e.vec_id, e.label, m.model, cls.c AS class,
+         CAST(sum(CAST(floor(CAST(e.v AS DOUBLE) * 1048576) AS BIGINT) * (((e.j + m.shift) * (2 * cls.c + 3)) % 11 - 5)) AS DOUBLE) / 1048576 AS score
+  FROM emb_long e, {_CLS} cls, (VALUES ('baseline', 0), ('grid', 1), ('random', 2)) m(model, shift)
+  GROUP BY e.vec_id, e.label, m.model, cls.c)"""
+_PRED = _SCORES + """,
+emb_pred AS (
+  SELECT vec_id, label AS y_true, CAST(arg_min(class, (-score, class)) AS INTEGER) AS y_pred
+  FROM emb_scores WHERE model = 'baseline' GROUP BY vec_id, label)"""
 ORACLE["label_counts"] = with_(FIXTURE, "SELECT label, count(*) AS count FROM fx_events GROUP BY label")
 ORACLE["class_counts"] = with_(_PRED, "SELECT y_pred, count(*) AS count FROM emb_pred GROUP BY y_pred")
 ORACLE["confusion_matrix"] = with_(_PRED, f"""
-SELECT l.c AS y_true, {", ".join(f"count(p.y_pred) FILTER (WHERE p.y_pred = {k}) AS pred_{k}" for k in range(10))}
-FROM {_CLS} l LEFT JOIN emb_pred p ON p.y_true = l.c AND p.y_pred BETWEEN 0 AND 9
+SELECT l.c AS y_true, {", ".join(f"count(p.vec_id) FILTER (WHERE p.y_pred = {k}) AS pred_{k}" for k in range(10))},
+       count(p.vec_id) FILTER (WHERE p.y_pred IS NULL OR p.y_pred NOT BETWEEN 0 AND 9) AS pred_other
+FROM (SELECT c FROM {_CLS} UNION ALL SELECT NULL) l
+LEFT JOIN emb_pred p ON l.c IS NOT DISTINCT FROM CASE WHEN p.y_true BETWEEN 0 AND 9 THEN p.y_true END
 GROUP BY l.c""")
 ORACLE["accuracy"] = with_(_PRED, f"""
 SELECT {r6('avg(CASE WHEN y_true = y_pred THEN 1e0 ELSE 0e0 END)')} AS accuracy, count(*) AS n FROM emb_pred""")
 
-_LONG = f"""long AS (
-  SELECT cls.c AS class, CAST(e.embedding[cls.c + 1] AS DOUBLE) AS score,
-         CASE WHEN e.label = cls.c THEN 1 ELSE 0 END AS is_pos
-  FROM embeddings e, {_CLS} cls),
+_LONG = _SCORES + """,
+long AS (
+  SELECT class, score, CASE WHEN label = class THEN 1 ELSE 0 END AS is_pos FROM emb_scores WHERE model = 'baseline'),
 pts AS (
   SELECT class, score, CAST(sum(is_pos) AS BIGINT) AS pos, CAST(sum(1 - is_pos) AS BIGINT) AS neg
   FROM long GROUP BY class, score)"""
@@ -185,11 +194,9 @@ auc AS (
 
 
 ORACLE["auc"] = with_(_auc_sql(_LONG, "class"), f"SELECT class, {r6('auc')} AS auc FROM auc")
-_LONG_M = f"""long AS (
-  SELECT m.model, cls.c AS class, CAST(e.embedding[m.off + cls.c + 1] AS DOUBLE) AS score,
-         CASE WHEN e.label = cls.c THEN 1 ELSE 0 END AS is_pos
-  FROM embeddings e, {_CLS} cls,
-       (VALUES ('baseline', 0), ('grid', 10), ('random', 20)) m(model, off)),
+_LONG_M = _SCORES + """,
+long AS (
+  SELECT model, class, score, CASE WHEN label = class THEN 1 ELSE 0 END AS is_pos FROM emb_scores),
 pts AS (
   SELECT model, class, score, CAST(sum(is_pos) AS BIGINT) AS pos, CAST(sum(1 - is_pos) AS BIGINT) AS neg
   FROM long GROUP BY model, class, score)"""

@@ -268,11 +268,22 @@ def _embeddings(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
 
 
+def _class_scores(shift: int = 0):
+    """Scores of ten classes, each a signed integer weighting of all embedding values.
+
+    Values are taken in units of 2^-20, so sums are exact and independent of their order.
+    """
+    def score(c):
+        terms = F.transform("embedding", lambda v, j: F.floor(v.cast("double") * 1048576)
+                            * (((j + 1 + shift) * (2 * c + 3)) % 11 - 5))
+        return F.aggregate(terms, F.lit(0).cast("long"), lambda s, x: s + x) / 1048576
+    return F.array(*[score(c) for c in range(10)])
+
+
 def _emb_predictions(spark, sf_dir):
-    """Fixed scores: the first ten embedding values act as class scores."""
-    e = _embeddings(spark, sf_dir)
-    return e.select("vec_id", F.col("label").alias("y_true"),
-                    EVL.argmax(F.slice("embedding", 1, 10)).alias("y_pred"))
+    """Fixed arithmetic scores over the whole embedding stand in for a classifier's."""
+    e = _embeddings(spark, sf_dir).withColumn("scores", _class_scores())
+    return e.select("vec_id", F.col("label").alias("y_true"), EVL.argmax("scores").alias("y_pred"))
 
 
 @query("label_counts")
@@ -301,7 +312,7 @@ def q_accuracy(spark, sf_dir):
 
 
 def _emb_long(spark, sf_dir):
-    e = _embeddings(spark, sf_dir).withColumn("scores", F.slice("embedding", 1, 10))
+    e = _embeddings(spark, sf_dir).withColumn("scores", _class_scores())
     return EVL.one_vs_rest(e, "scores", "label", list(range(10)))
 
 
@@ -323,7 +334,7 @@ def q_model_compare(spark, sf_dir):
     """AUC per (model, class) for three fixed-score models, best flagged."""
     e = _embeddings(spark, sf_dir)
     models = F.explode(F.array(*[F.struct(F.lit(name).alias("model"),
-                                          F.slice("embedding", 1 + 10 * i, 10).alias("scores"))
+                                          _class_scores(shift=i).alias("scores"))
                                  for i, name in enumerate(["baseline", "grid", "random"])]))
     m = e.select("label", models.alias("m")).select("label", "m.model", "m.scores")
     long = EVL.one_vs_rest(m, "scores", "label", list(range(10)), model_col="model")

@@ -67,3 +67,9 @@ def test_blank_events_are_white_images(spark):
     labels = spark.createDataFrame([(1, 0), (2, 1)], "event_id long, label int")
     got = {r.event_id: r.image for r in IM.dense_images(px, 1, labels=labels).collect()}
     assert set(got) == {1, 2} and got[1][0][0] == [0.5] * 3 and all(c == 1.0 for row in got[2] for p in row for c in p)
+
+
+def test_confusion_matrix_keeps_unlisted_classes(spark):
+    df = spark.createDataFrame([(0, 0), (0, 1), (1, 7), (9, 1), (None, 0), (1, None)], "y_true int, y_pred int")
+    got = {r["y_true"]: tuple(r)[1:] for r in EVL.confusion_matrix(df, [0, 1]).collect()}
+    assert got == {0: (1, 1, 0), 1: (0, 0, 2), None: (1, 1, 0)}
