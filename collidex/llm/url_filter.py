@@ -1,13 +1,14 @@
 """Operator 3: URL filter with fixed rules and a path-template tree.
 
 Pages that a rule judges are the labelled rows. Per host, a tree over path segments
-is built level by level: a segment that is numeric, hexadecimal or takes too many
-values becomes a wildcard, and sibling branches whose share of blocked pages does
-not differ significantly from that of all siblings are merged. The resulting
+is built level by level, as deep as the paths: a numeric or hexadecimal segment becomes
+a wildcard, and sibling branches whose share of blocked pages does not differ
+significantly from that of all siblings are merged, however many they are. The resulting
 templates are judged by their smoothed purity, the share of blocked among labelled
 pages, drawn towards that of the same path shape at the parent domain and over all
 pages. Templates above ``reject`` are blocked. Branches without a labelled page are
-not merged with labelled ones: nothing is known about their likeness.
+not merged with labelled ones: nothing is known about their likeness. More than
+``max_children`` of them are one ``?``, which changes names of templates, no verdict.
 
 Pages are first counted by host and path shape, so a host with a third of all pages
 is a handful of rows in every later step.
@@ -51,13 +52,13 @@ def _purity(blocked, labelled, prior, weight: float) -> F.Column:
     return (F.coalesce(blocked, F.lit(0)) + weight * prior) / (F.coalesce(labelled, F.lit(0)) + weight)
 
 
-def url_filter(pages: DataFrame, rules=RULES, depth: int = 6, max_children: int = 20, z: float = 2.0,
+def url_filter(pages: DataFrame, rules=RULES, max_children: int = 20, z: float = 2.0,
                weight: float = 4.0, reject: float = 0.9) -> DataFrame:
     """One row per row of ``pages``: ``page_id, host, path, rule, verdict, template, purity``.
 
     The longest fitting rule decides; where none fits, ``rule`` is null and the template
-    decides. Segments below ``depth`` are one wildcard of the template (paths are returned
-    whole). Null urls have empty host and path, no template evidence, and are allowed.
+    decides. Each level of the tree is one round, over the paths that still share their
+    template with others. Null urls have empty host and path, no template evidence, and are allowed.
     Null ids and repeated rows each give a row, other columns are not read, and without
     any page or any labelled page all is allowed that no rule blocks.
     """
@@ -65,26 +66,30 @@ def url_filter(pages: DataFrame, rules=RULES, depth: int = 6, max_children: int
     host, path = split_url("_url")
     p = p.select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = _by_rules(rules)
-    p = saved(p.withColumn("rule", rule).withColumn("ruled", verdict).withColumn("shape", F.array_join(F.slice(_shape(F.col("path")), 1, depth), "/")), "urls")
+    p = saved(p.withColumn("rule", rule).withColumn("ruled", verdict).withColumn("shape", F.array_join(_shape(F.col("path")), "/")), "urls")
 
     leaf = p.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("ruled").alias("labelled"),
                                           F.sum(F.when(F.col("ruled") == "block", 1).otherwise(0)).alias("blocked"))
-    tree = saved(leaf.withColumn("seg", F.split("shape", "/")).withColumn("template", F.lit("")), "url-leaves")
-    deepest = tree.agg(F.max(F.size("seg"))).first()[0] or 0            # one number, at most ``depth``
-    for level in range(deepest):
+    live = saved(leaf.withColumn("seg", F.split("shape", "/")).withColumn("template", F.lit("")), "url-leaves")
+    columns, tree, level = live.columns, live.limit(0), 0
+    while not live.isEmpty():
         s = F.get("seg", F.lit(level))
-        child = (tree.filter(s.isNotNull()).groupBy("host", "template", s.alias("s"))
-                     .agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b")))
-        kin = child.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("l").alias("kl"), F.sum("b").alias("kb"))
+        child = live.groupBy("host", "template", s.alias("s")).agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.count("*").alias("leaves"))
+        kin = child.groupBy("host", "template").agg(F.count("*").alias("children"), F.count_if(F.col("l") == 0).alias("unlabelled"), F.sum("l").alias("kl"),
+                                                    F.sum("b").alias("kb"), (F.sum("leaves") == 1).alias("alone"))
         share = F.col("kb") / F.greatest("kl", F.lit(1))
         spread = F.sqrt(share * (1 - share) / F.greatest("l", F.lit(1)))
         alike = F.abs(F.col("b") / F.greatest("l", F.lit(1)) - share) <= z * spread + 1e-9
         branch = (child.join(kin, ["host", "template"])
-                       .select("host", "template", "s", F.when((F.col("children") > max_children) | (F.col("children") > 1) & (F.col("l") > 0) & alike, "*")
-                               .otherwise(F.col("s")).alias("branch")))
-        tree = (tree.withColumn("s", s).join(branch, ["host", "template", "s"], "left")
-                    .withColumn("template", F.when(F.col("branch").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "branch"))).drop("s", "branch"))
-        tree = saved(tree, "url-tree")
+                       .select("host", "template", "s", "alone", F.when((F.col("l") > 0) & (F.col("children") > 1) & alike, "*")
+                               .when((F.col("l") == 0) & (F.col("unlabelled") > max_children), "?").otherwise(F.col("s")).alias("branch")))
+        rest = F.when(F.col("alone"), F.slice("seg", level + 2, F.size("seg"))).otherwise(F.array())     # a path alone keeps its segments
+        step = (live.withColumn("s", s).join(branch, ["host", "template", "s"])
+                    .withColumn("template", F.concat("template", F.lit("/"), F.array_join(F.concat(F.array("branch"), rest), "/")))
+                    .withColumn("ended", F.col("alone") | (F.size("seg") == level + 1)).select(*columns, "ended"))
+        step = saved(step, "url-tree")
+        tree, live, level = tree.unionByName(step.filter("ended").select(*columns)), step.filter("NOT ended").select(*columns), level + 1
+    tree = saved(tree, "url-tree")
     domain = F.substring_index("host", ".", -2)
     l0, b0 = tree.agg(F.sum("labelled"), F.sum("blocked")).first()       # two numbers
     tree = tree.withColumn("domain", domain)

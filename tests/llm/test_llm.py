@@ -97,6 +97,19 @@ def test_url_rules_and_templates(spark):
     assert rows(url_filter(p.limit(0))) == []
 
 
+def test_url_templates_of_many_and_deep_segments(spark):
+    from collidex.llm.url_filter import url_filter
+    deep = "/a/b/c/d/e/f"
+    urls = [*[f"http://y.net/{x}/{i}" for x in ("es", "fr") for i in range(30)], *[f"http://y.net/s{i}/7" for i in "abcdefghijklmnopqrstuvwx"], "http://y.net/en/5",
+            *[f"http://z.org/bad/1{i}" for i in range(60)], "http://z.org/bad/2", *[f"http://z.org/ok{i}/{j}" for i in range(30) for j in range(4)],
+            *[f"http://v.org{deep}/bad/{i}" for i in range(60)], f"http://v.org{deep}/good/1", f"http://v.org{deep}/bad/x/y/z"]
+    rules = [("block", "net/es/"), ("block", "net/fr/"), ("block", "z.org/bad/1"), ("allow", "z.org/ok"), ("block", f"v.org{deep}/bad/")]
+    got = {r.host + r.path: r for r in url_filter(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    assert len(got) == len(urls) and got["y.net/es/1"].verdict == "block" and got["y.net/en/5"].verdict == "allow" and got["y.net/en/5"].template == "y.net/?/<n>"
+    assert got["z.org/bad/2"].rule is None and got["z.org/bad/2"].verdict == "block" and got["z.org/ok3/1"].template == "z.org/*/<n>"
+    assert got[f"v.org{deep}/good/1"].verdict == "allow" and got[f"v.org{deep}/good/1"].template == f"v.org{deep}/good/<n>"
+
+
 def test_decontamination(spark, odd, none):
     from collidex.llm.decontamination import contained_items
     item = [f"q{i}" for i in range(30)]
