@@ -2,11 +2,12 @@
 
 Markup is stripped into lines, one per block element. Lines of menus, headers,
 footers, sidebars, notices, adverts, forms and comments weigh nothing, and so do
-lines made of links and, where a page has an article element, lines outside it.
+lines made of links; where a page has an article element, lines outside it weigh half.
 Over the weights (text lengths) slides a window of ``width`` lines. Where its sum
 rises from zero the text surges, where it falls back to zero it dives; the text
-between the two is kept if the sum in between exceeds ``surge``. A page that never
-gets there keeps its highest run.
+between the two is kept if the sum in between exceeds ``surge``. A shorter run is kept
+within ``near`` lines of a kept one. Runs end where an article begins or ends. A page
+that never gets there keeps its highest run.
 """
 
 from __future__ import annotations
@@ -132,25 +133,45 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
-def extract(page: str | None, width: int = 3, surge: int = 86) -> str:
-    lines = lines_of(page or "")
-    article = any(inside and not off for _, _, off, inside in lines)
-    weight = np.array([0 if off or (article and not inside) or 2 * links > len(t) and not inside else len(t)
-                       for t, links, off, inside in lines] + [0] * width)
-    sums = np.convolve(weight, np.ones(width, int))[width - 1:] if len(lines) else weight
-    sums[len(lines):] = 0
+def _runs(weight: np.ndarray, width: int) -> list[tuple[float, int, int]]:
+    """(highest window sum, first line, end) between each surge from zero and the next dive to zero."""
+    n = len(weight)
+    sums = np.convolve(np.append(weight, [0] * width), np.ones(width, int))[width - 1:][:n]
     runs, i = [], 0
-    while i < len(lines):
+    while i < n:
         if sums[i] == 0:
             i += 1
             continue
         j = i
-        while j < len(lines) and sums[j] > 0:
+        while j < n and sums[j] > 0:
             j += 1
-        runs.append((int(sums[i:j].max()), i, j))
+        text = np.flatnonzero(weight[i:j]) + i
+        runs.append((float(sums[i:j].max()), int(text[0]), int(text[-1]) + 1))
         i = j
-    kept = [r for r in runs if r[0] > surge or article] or ([max(runs, key=lambda r: (r[0], -r[1]))] if runs else [])
-    return " ".join(lines[k][0] for _, i, j in kept for k in range(i, j) if weight[k])
+    return runs
+
+
+def extract(page: str | None, width: int = 3, surge: int = 86, near: int = 12) -> str:
+    lines = lines_of(page or "")
+    if not lines:
+        return ""
+    article = any(inside and not off for _, _, off, inside in lines)
+    within = np.array([inside for *_, inside in lines])
+    weight = np.array([0 if off or 2 * links > len(t) and not inside else len(t) if inside or not article else len(t) / 2
+                       for t, links, off, inside in lines], float)
+    kept, every = [], []
+    for side in (True, False):
+        runs = _runs(np.where(within == side, weight, 0), width)
+        close = np.zeros(len(lines), bool)
+        for _, i, j in (r for r in runs if r[0] > surge):
+            close[max(0, i - near):j + near] = True
+        kept += [r for r in runs if close[r[1]:r[2]].any()]
+        every += runs
+    if not kept and every:
+        best = max(every, key=lambda r: (r[0], within[r[1]], -r[1]))
+        kept = [best]
+    own = {k for _, i, j in kept for k in range(i, j) if weight[k] and within[k] == within[i]}
+    return " ".join(lines[k][0] for k in sorted(own))
 
 
 def main_text(pages: DataFrame, width: int = 3, surge: int = 86) -> DataFrame:

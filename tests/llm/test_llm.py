@@ -195,6 +195,16 @@ def test_main_text_of_given_pages(spark):
         assert r.text == re.sub(r"\s+", " ", html.unescape(re.sub("</?b>", "", article))).strip()
 
 
+def test_main_text_of_pages_with_a_teaser_and_late_paragraphs():
+    from collidex.llm.main_text import extract
+    parts = [f"Main text of the page, part {i}, and so on for some length." for i in range(8)]
+    teaser = "<article class=card><h3>Teaser</h3><p>Read this now.</p></article>"
+    assert extract("<body><div>" + "".join(f"<p>{x}</p>" for x in parts) + f"</div>{teaser}</body>") == " ".join(parts)
+    long, between = "long " * 40, "<div class=ad><p>a</p><p>b</p><p>c</p></div>"
+    assert extract(f"<p>{long}</p>{between}<p>Short end.</p>") == long + "Short end."
+    assert extract(f"<article><p>{long}</p></article><div>By line</div>") == long.strip()
+
+
 def test_pii(spark, odd, none):
     from collidex.llm.pii import luhn, mentions, pii_surrogates
     text = ("bob.42@mail8.example.com BOB.42@mail8.example.com +1 (988) 555-2485 988-555-2485 4041894974608795 70.123.182.155 "
