@@ -8,6 +8,10 @@ rises from zero the text surges, where it falls back to zero it dives; the text
 between the two is kept if the sum in between exceeds ``surge``. A shorter run is kept
 within ``near`` lines of a kept one. Runs end where an article begins or ends. A page
 that never gets there keeps its highest run.
+
+Words of class and id also name the layout of wrappers. They do not remove an element
+with a main element in it, with all of the page's articles or, for words of layout, with
+most of the page's text; nor anything where nothing would be left.
 """
 
 from __future__ import annotations
@@ -38,6 +42,10 @@ NOT_MAIN = set("ad ads advert adverts advertisement advertising sponsor sponsore
                "notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments reply replies "
                "disqus sidebar sidebars widget widgets related recommended recommendations share sharing social breadcrumb breadcrumbs menu "
                "menus nav navbar navigation footer header masthead pagination pager toolbar copyright legal disclaimer".split())
+LAYOUT = set("sidebar sidebars widget widgets menu menus nav navbar navigation footer header masthead toolbar banner breadcrumb breadcrumbs".split())
+REPEATED = set("comment comments reply replies disqus related recommended recommendations".split())       # their elements often hold articles of their own
+WRAPS = set("wrap wrapper container layout".split())
+NEGATED = set("has with no without".split())
 ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 
 _SPACE = re.compile(r"[\s​﻿]+")
@@ -46,7 +54,8 @@ _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 
 
-def _not_main(name: str, attrs: str) -> bool:
+def _off(name: str, attrs: str) -> bool:
+    """Whether an element is no main text by its name, its role or because it is hidden."""
     if name in DROPPED:
         return True
     if name in KEPT or not attrs.strip():
@@ -55,31 +64,44 @@ def _not_main(name: str, attrs: str) -> bool:
         return True
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key in ("class", "id") and NOT_MAIN & set(re.split(r"[^a-z]+", value)):
-            return True
         if key == "role" and value in ROLES or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
             return True
     return False
 
 
+def _named(name: str, attrs: str) -> set[str]:
+    """Words of class and id that name what is not main text, and those of ``WRAPS`` beside them."""
+    found = set()
+    for m in _ATTR.finditer(attrs) if name not in KEPT else ():
+        if m[1].lower() in ("class", "id"):
+            for token in (m[2] or m[3] or m[4] or "").lower().split():
+                words = [w for w in re.split(r"[^a-z]+", token) if w]
+                if words and words[0] not in NEGATED and NOT_MAIN.intersection(words):
+                    found.update((NOT_MAIN | WRAPS).intersection(words))
+    return found
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     """(text, characters within links, not main text, inside an article) of each block, in page order."""
     out, text, stack = [], [], []
     off, inside, link, linked, at, n = 0, 0, 0, 0, 0, len(page)
+    named, open_, articles = [], [], 0          # elements named by class or id: words, main and article elements in them; the open ones
 
     def flush():
         nonlocal linked
         if text:
             t = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             if t:
-                out.append((t, linked, off > 0, inside > 0))
+                out.append((t, linked, off > 0, inside > 0, tuple(open_)))
             text.clear()
         linked = 0
 
     def pop():
         nonlocal off, inside
-        name, flag = stack.pop()
+        name, flag, words = stack.pop()
         off -= flag
+        if words:
+            open_.pop()
         inside -= name in ("article", "main")
 
     while at < n:
@@ -123,14 +145,32 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             link = 0
         elif not m[3].strip():
             continue                                                         # plain inline markup
-        flag = _not_main(name, m[3])
-        if flag and name not in BLOCKS:
+        flag = _off(name, m[3])
+        words = set() if flag else _named(name, m[3])
+        if (flag or words) and name not in BLOCKS:
             flush()
-        stack.append((name, flag))
+        stack.append((name, flag, words))
         off += flag
-        inside += name in ("article", "main")
+        if words:
+            open_.append(len(named))
+            named.append([words, 0, 0])
+        if name in ("article", "main"):
+            inside += 1
+            if not off:
+                articles += name == "article"
+                for i in open_:
+                    named[i][1 + (name == "article")] += 1
     flush()
-    return out
+    held = [0] * len(named)
+    for t, _, away, _, within in out:
+        for i in within if not away else ():
+            held[i] += len(t)
+    most = sum(len(t) for t, _, away, _, _ in out if not away) / 2
+    bars = {i for i, (words, mains, own) in enumerate(named) if not (
+        mains or articles and own == articles and (words & WRAPS or not words & REPEATED) or held[i] > most and words & (LAYOUT | WRAPS))}
+    if all(away or bars.intersection(within) for _, _, away, _, within in out):
+        bars = set()
+    return [(t, links, away or not bars.isdisjoint(within), within_article) for t, links, away, within_article, within in out]
 
 
 def _runs(weight: np.ndarray, width: int) -> list[tuple[float, int, int]]:

@@ -205,6 +205,17 @@ def test_main_text_of_pages_with_a_teaser_and_late_paragraphs():
     assert extract(f"<article><p>{long}</p></article><div>By line</div>") == long.strip()
 
 
+def test_main_text_in_wrappers_named_after_other_parts():
+    from collidex.llm.main_text import extract
+    text, side = "word " * 40, "<div class=sidebar><p>" + "side " * 30 + "</p></div>"
+    for wrap in ("class='content-sidebar-wrap'", "class='layout has-sidebar'", "id=page-with-header", "class='x modal'"):
+        assert extract(f"<div {wrap}><article><p>{text}</p></article>{side}</div>") == text.strip()
+        assert extract(f"<div {wrap}><p>{text}</p></div>") == text.strip()
+    assert extract(f"<div class=content-sidebar-wrap><div><p>{text}</p></div>{side}</div>") == text.strip()
+    late = "<div id=comments><article><p>" + "by a reader " * 90 + "</p></article></div>"
+    assert extract(f"<article><p>{text}</p></article>{late}") == extract(f"<div><p>{text}</p></div>{late}") == text.strip()
+
+
 def test_pii(spark, odd, none):
     from collidex.llm.pii import luhn, mentions, pii_surrogates
     text = ("bob.42@mail8.example.com BOB.42@mail8.example.com +1 (988) 555-2485 988-555-2485 4041894974608795 70.123.182.155 "
