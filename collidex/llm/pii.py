@@ -4,7 +4,10 @@ Emails, addresses of hosts, phone, card, account and social security numbers, se
 and titled names are found in whole texts and replaced by others of the same type,
 format, script and, for names, gender. A surrogate depends on a key and on the entity's
 canonical form alone, so all mentions of an entity, however written, get the same one
-in every document. Distinctness is checked over the corpus: entities that share a
+in every document. Parts of names are entities of their own: given names, by gender,
+and family names; so "Mr Smith" agrees with "Mr John Smith", and both with "John Smith"
+and "Smith" without a title in a text that names the person with one. A title without a
+gender takes that of the same given name in the text, or one guessed by the name. Distinctness is checked over the corpus: entities that share a
 surrogate, or whose surrogate is itself an entity of the corpus, get their next one,
 until none is left.
 
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 
 import pandas as pd
@@ -25,7 +29,9 @@ from collidex.llm.common import only_ids, saved, table, without_ids
 
 # fixed values: titles by gender, and given names and family names to choose from, by script
 TITLES = {"Mr": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Sir": "m", "господин": "m",
-          "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Señora": "f", "Sra": "f", "Lady": "f", "госпожа": "f"}
+          "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Señora": "f", "Sra": "f", "Lady": "f", "госпожа": "f",
+          "Mister": "m", "Lord": "m", "г-н": "m", "Mlle": "f", "Dame": "f", "г-жа": "f",
+          "Dr": "n", "Prof": "n", "Professor": "n", "Doctor": "n", "Doktor": "n", "Rev": "n", "Mx": "n", "доктор": "n", "профессор": "n"}
 GIVEN = {("latin", "m"): "Adam Bruno Carl David Edgar Felix George Hugo Ivan Jonas Karl Leon Martin Noel Oscar Paul Robert Simon Thomas Victor".split(),
          ("latin", "f"): "Alice Berta Clara Diana Emma Flora Greta Helen Irene Julia Karin Laura Maria Nora Olga Paula Rosa Sofia Teresa Vera".split(),
          ("cyrillic", "m"): "Алексей Борис Виктор Григорий Дмитрий Егор Иван Кирилл Леонид Максим Николай Олег Павел Роман Сергей".split(),
@@ -33,27 +39,34 @@ GIVEN = {("latin", "m"): "Adam Bruno Carl David Edgar Felix George Hugo Ivan Jon
 SYLLABLES = {"latin": "an bel cor dan el far gar hol in jan kel lor mar nor or per ral san tor ul van wel zan".split(),
              "cyrillic": "ан бел вор гор дан ел жар зин ив кор лан мир нов ор пет рой сан тур ул фед".split()}
 
-_NAME = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][\w'’-]*[a-zß-öø-ÿа-яё]"
+_TITLE = rf"(?:{'|'.join(sorted(TITLES, key=len, reverse=True))})"
+_NAME = rf"(?!{_TITLE}\b)(?:[A-ZÀ-ÖØ-ÞА-ЯЁ][\w'’-]*[a-zß-öø-ÿа-яё]|[A-ZÀ-ÖØ-ÞА-ЯЁ][A-ZÀ-ÖØ-ÞА-ЯЁ'’-]{{1,30}}(?!\w))"
+_INITIAL = r"(?:[A-ZÀ-ÖØ-ÞА-ЯЁ]\.-?)+"
+_PARTICLE = r"(?:van|von|de|der|den|del|della|di|da|dos|du|la|le|ten|ter|zu|bin|ibn|al|el|y)"
+_GAP = r"[ \t\u00a0]{1,2}"
+_REST = rf"(?:(?:{_INITIAL}|{_PARTICLE}){_GAP}|{_INITIAL}(?={_NAME}))*{_NAME}"
+_HEX4 = r"[0-9A-Fa-f]{1,4}"
 PATTERN = re.compile("|".join([
     r"(?P<email>[A-Za-z0-9][\w.%+-]{0,63}+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})",
     r"(?P<key>\bAKIA[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36}\b|\bsk-[A-Za-z0-9_-]{20,}|\beyJ[\w-]{10,}\.[\w-]{10,}\.[\w-]{5,})",
     r"(?P<secret>(?i:\b(?:password|passwd|pwd|secret|token|api_?key)\b[\"']?\s*[=:]\s*[\"']?)(?P<value>[^\s\"',;]{4,}))",
     r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)",
     r"(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))",
-    r"(?P<ip6>(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:]))",
+    rf"(?P<ip6>(?<![\w:])(?:(?:{_HEX4}:){{7}}{_HEX4}|(?:{_HEX4}(?::{_HEX4}){{0,6}})?::(?:{_HEX4}(?::{_HEX4}){{0,6}})?)(?![\w:]))",
     r"(?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]))",
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
-    r"(?P<phone>(?<![\w.+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4}|(?<=\d[ .-])\d{2,4}(?:[ .-]?\d{2,4}){2,3}|0\d{2,4}[ /-]\d{5,8})(?![\w]))",
+    r"(?P<phone>(?<![\w.+])\+[1-9]\d{7,14}(?!\w)|(?<![\w.+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}|(?<=\d[ .-])\d{2,4}(?:[ .-]?\d{2,4}){2,3}|0\d{2,4}[ /-]\d{5,8})(?![\w]))",
     r"(?P<hex>\b(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})\b)",
-    rf"(?P<name>\b(?:{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? {_NAME}(?: {_NAME})?)",
+    rf"(?P<name>\b(?P<titles>(?:{_TITLE}\.?(?:{_GAP}|\n))+){_REST}(?:{_GAP}{_REST})*)",
 ]))
 
-KINDS = [k for k in PATTERN.groupindex if k not in ("value", "sep")]
+KINDS = [k for k in PATTERN.groupindex if k not in ("value", "sep", "titles")]
 #: Signs without which no word begins an entity: in the word itself, or after it and white space for ``=`` and ``:``.
 SIGNS = re.compile(r"[@:=\d]")
 HEADS = [re.compile(r"AKIA|gh[pousr]_|sk-|eyJ"), re.compile(rf"(?:{'|'.join(TITLES)})(?!\w)")]
 SPACE = re.compile(r"\s")
-COUNTRY = re.compile(r"\A\+\d{1,3}[ .-]?(?=[(\d])")
+#: Calling codes, by separator or by the numbering plan.
+COUNTRY = re.compile(r"\A\+(?:\d{1,3}(?:[ .-]|(?=\())|[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})(?=[(\d])")
 
 
 def luhn(digits: str) -> bool:
@@ -76,9 +89,10 @@ def _canonical(kind: str, text: str) -> str | None:
     if kind == "iban":
         return text.replace(" ", "")
     if kind == "ip6":
-        return text.lower()
-    if kind == "name":
-        return text.split(" ", 1)[1]            # the title gives the gender and stays
+        try:
+            return ipaddress.IPv6Address(text).exploded if re.search(r"\d", text) and text != "::1" else None
+        except ValueError:
+            return None
     return text
 
 
@@ -103,19 +117,81 @@ def _matches(text: str):
         done = start
 
 
+def _plain(word: str) -> str:
+    return word.title() if len(word) > 1 and word.isupper() else word
+
+
+def _guess(given: str) -> str:
+    for gender in "mf":
+        if any(given in names for (_, g), names in GIVEN.items() if g == gender):
+            return gender
+    return "f" if given[-1] in "aа" else "m"
+
+
+def _tagged(words: list[str], gender: str) -> list[str]:
+    """Words of a name: ``i`` initials, ``p`` particles, ``f`` the family name, ``g`` and the gender given names."""
+    out = ["i" + w if re.fullmatch(_INITIAL, w) else "p" + w if re.fullmatch(_PARTICLE, w) else "g" + gender + _plain(w) for w in words]
+    return [*out[:-1], "f" + _plain(words[-1])]
+
+
+def _names(text: str, named: list[tuple[int, int, str]], found: list[tuple]) -> list[tuple]:
+    """Mentions of the persons that a text names with a title, those without one included."""
+    split = [re.findall(r"[^\s.]\.(?=[^\s.-]{2})|\S+", text[i:j]) for i, j, _ in named]
+    genders, families = {}, {_plain(w[-1]) for w in split if len(w) > 1}
+    for words, (_, _, gender) in zip(split, named):
+        for w in words[:-1]:
+            if gender != "n":
+                genders[_plain(w)] = gender
+    known, out = {}, []
+    for words, (_, _, gender) in zip(split, named):
+        for w in words[:-1]:
+            if not re.fullmatch(f"{_INITIAL}|{_PARTICLE}", w):
+                known.setdefault(_plain(w), "g" + (gender if gender != "n" else genders.get(_plain(w)) or _guess(_plain(w))) + _plain(w))
+    known.update((f, "f" + f) for f in sorted(families))
+    for words, (i, j, gender) in zip(split, named):
+        tags = _tagged(words, gender)
+        tags = [known.get(t[2:], t) if t[0] == "g" and gender == "n" else t for t in tags]
+        if len(words) == 1:
+            tags = [known.setdefault(_plain(words[0]), tags[0])]
+        out.append((i, j, "name", "\x1e".join(tags)))
+    known = {w: tag for w, tag in known.items() if w not in TITLES}
+    if not known:
+        return out
+    any_of = "|".join(re.escape(w) for k in sorted(known, key=len, reverse=True) for w in dict.fromkeys((k, k.upper())))
+    one = rf"(?:{any_of})(?![\w@])"
+    bare = re.compile(rf"(?<![\w@]){one}(?:{_GAP}(?:{_INITIAL}{_GAP})*{one})*")
+    at = 0
+    for start, end in [*sorted((x[0], x[1]) for x in [*found, *out]), (len(text), len(text))]:
+        for m in bare.finditer(text, at, start):
+            words = m[0].split()
+            out.append((m.start(), m.end(), "name", "\x1e".join(known.get(_plain(w)) or known.get(w) or "i" + w for w in words)))
+        at = end
+    return out
+
+
 def mentions(text: str | None):
     """(start, end, kind, canonical form) of each entity, in order, without overlaps."""
+    found, named = [], []
     for m in _matches(text or ""):
         kind, at = next(k for k in KINDS if m[k] is not None), m.span()
+        if kind == "name":
+            genders = [TITLES[x] for x in re.findall(_TITLE, m["titles"])]
+            end = m.end() - 2 if m[0].endswith(("'s", "’s")) else m.end()
+            named.append((m.end("titles"), end, next((g for g in genders if g != "n"), "n")))       # the title stays
+            continue
         if kind == "secret":
             at = m.span("value")
-        elif kind == "name":
-            at = (m.start() + m[0].index(" ") + 1, m.end())
-        canonical = _canonical(kind, m[0] if kind == "name" else text[slice(*at)])
-        if kind == "name":
-            canonical = TITLES[m[0].split(" ")[0].rstrip(".")] + canonical
+        canonical = _canonical(kind, text[slice(*at)])
         if canonical is not None:
-            yield at[0], at[1], kind, canonical
+            found.append((*at, kind, canonical))
+    return sorted(found + _names(text, named, found)) if named else found
+
+
+def entities_of(kind: str, canonical: str) -> list[tuple[str, str]]:
+    """What gets a surrogate of its own: the mention, or the given and family names in it."""
+    if kind != "name":
+        return [(kind, canonical)]
+    return [("given" if x[0] == "g" else "family", x[1:]) for x in canonical.split("\x1e") if x[0] in "gf"]
 
 
 class _Stream:
@@ -159,7 +235,8 @@ def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
         low = {1: (1, 9), 2: (10, 90), 3: (100, 155)}
         return ".".join(str(low[len(x)][0] + s.below(low[len(x)][1])) for x in canonical.split("."))
     if kind == "ip6":
-        return re.sub(r"[0-9a-f]", lambda _: "0123456789abcdef"[s.below(16)], canonical)
+        groups = [x if attempt > 3 else x.lstrip("0") for x in canonical.split(":")]
+        return ":".join(f"{s.below(15 * 16 ** (len(x) - 1)) + 16 ** (len(x) - 1) if x else 0:04x}" for x in groups)
     if kind == "hex":
         return "".join("0123456789abcdef"[s.below(16)] for _ in canonical)
     if kind == "key":
@@ -174,12 +251,13 @@ def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
         body = _alike(canonical[4:], s)
         rest = int("".join(str(int(c, 36)) for c in body + canonical[:2] + "00")) % 97
         return f"{canonical[:2]}{98 - rest:02d}{body}"
-    if kind == "name":
-        gender, words = canonical[0], canonical[1:].split(" ")
+    if kind in ("given", "family"):
         script = "cyrillic" if re.search("[Ѐ-ӿ]", canonical) else "latin"
-        syllables = SYLLABLES[script]
-        family = "".join(syllables[s.below(len(syllables))] for _ in range(3)).capitalize()
-        return gender + " ".join([GIVEN[script, gender][s.below(len(GIVEN[script, gender]))]] * (len(words) - 1) + [family])
+        syllables, gender = SYLLABLES[script], canonical[0]
+        if kind == "given" and attempt < 2:
+            return gender + GIVEN[script, gender][s.below(len(GIVEN[script, gender]))]
+        new = "".join(syllables[s.below(len(syllables))] for _ in range((3 if kind == "family" else 2) + attempt // 2)).capitalize()
+        return new if kind == "family" else gender + new + ("" if gender == "m" else "a" if script == "latin" else "а")
     return _alike(canonical, s)
 
 
@@ -192,20 +270,44 @@ def written(kind: str, mention: str, new: str) -> str:
     if kind == "iban":
         signs = iter(new)
         return re.sub(r"\S", lambda _: next(signs), mention)
-    if kind == "name":
-        return new[1:]
     if kind == "email":
         return "".join(n.upper() if m.isupper() else n for m, n in zip(mention, new))
     if kind == "ip6":
-        return new.upper() if mention.upper() == mention else new
+        groups = new.split(":")
+        head, short, tail = mention.partition("::")
+        head, tail = (x.split(":") if x else [] for x in (head, tail))
+        inner = groups[len(head):8 - len(tail)]
+        if any(int(x, 16) for x in inner):
+            out = ":".join(groups)
+        else:
+            pad = [f"{int(x, 16):0{len(m)}x}" for m, x in zip(head + tail, groups[:len(head)] + groups[8 - len(tail):])]
+            out = ":".join(pad[:len(head)]) + short + ":".join(pad[len(head):])
+        return out.upper() if mention.upper() == mention else out
     return new
+    return new
+
+
+def _renamed(mention: str, canonical: str, new: list[str], key: bytes) -> str:
+    """A name in the format of a mention; initials are shifted, particles stay."""
+    shift, tags, new = 1 + _Stream(key, "initial").below(25), iter(canonical.split("\x1e")), iter(new)
+
+    def word(m) -> str:
+        tag = next(tags)
+        if tag[0] == "p":
+            return m[0]
+        if tag[0] == "i":
+            return re.sub(r"\w", lambda c: chr(65 + (ord(c[0]) - 65 + shift) % 26) if c[0].isascii() else "N", m[0])
+        x = next(new)[tag[0] == "g":]
+        return x.upper() if len(m[0]) > 1 and m[0].isupper() else x
+
+    return re.sub(r"[^\s.]\.(?=[^\s.-]{2})|\S+", word, mention)
 
 
 def replaced(text: str, key: bytes, renewed: dict) -> tuple[str, int]:
     out, at, n = [], 0, 0
     for start, end, kind, canonical in mentions(text):
-        new = surrogate(kind, canonical, renewed.get(f"{kind}\x1f{canonical}", 0), key)
-        out += [text[at:start], written(kind, text[start:end], new)]
+        new = [surrogate(k, c, renewed.get(f"{k}\x1f{c}", 0), key) for k, c in entities_of(kind, canonical)]
+        out += [text[at:start], _renamed(text[start:end], canonical, new, key) if kind == "name" else written(kind, text[start:end], new[0])]
         at, n = end, n + 1
     return "".join([*out, text[at:]]), n
 
@@ -221,7 +323,7 @@ def pii_surrogates(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
 
     def find(batches):
         for b in batches:
-            rows = {(i, kind, c) for i, t in zip(b["doc_id"], b["text"]) if isinstance(t, str) for _, _, kind, c in mentions(t)}
+            rows = {(i, kind, c) for i, t in zip(b["doc_id"], b["text"]) if isinstance(t, str) for _, _, k, whole in mentions(t) for kind, c in entities_of(k, whole)}
             pdf = pd.DataFrame(sorted(rows, key=str), columns=["doc_id", "kind", "canonical"])
             pdf["doc_id"] = pdf["doc_id"].astype("Int64")
             yield pdf

@@ -286,3 +286,15 @@ def test_entities_by_words_equal_a_plain_scan():
     for _ in range(5000):
         text = "".join(rnd.choices(parts, k=rnd.randint(1, 14)))
         assert [m.span() for m in pii._matches(text)] == [m.span() for m in pii.PATTERN.finditer(text)], text
+
+
+def test_names_agree_and_leave_nothing_of_a_person_in_clear():
+    from collidex.llm.pii import mentions, replaced
+    new, n = replaced("Mr John Paul A. Smith-Lee met Mr Smith-Lee. John Smith-Lee, SMITH-LEE and Dr John Smith-Lee's dog; Prof. Dr. Anna van Berg, Berg", b"k", {})
+    assert n == 7 and not re.search("John|Paul|Smith|Lee|Anna|Berg|A\\.|SMITH", new)
+    given, second, _, family = re.match(r"Mr (\w+) (\w+) (\w\.) (\w+) met Mr", new).groups()
+    assert f"met Mr {family}. {given} {family}, {family.upper()} and Dr {given} {family}'s dog" in new
+    assert re.search(r"Prof\. Dr\. \w+ van (\w+), \1$", new)
+    forms = "+15551234567 +1 555 123 4567 555 123 4567 2001:db8::1 2001:0DB8:0:0:0:0:0:1 std::vector"
+    assert [(k, c) for *_, k, c in mentions(forms)] == [("phone", "5551234567")] * 3 + [("ip6", "2001:0db8:0000:0000:0000:0000:0000:0001")] * 2
+    assert not re.search("5551234567|123 4567|2001", replaced(forms, b"k", {})[0])
