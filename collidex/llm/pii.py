@@ -67,6 +67,8 @@ HEADS = [re.compile(r"AKIA|gh[pousr]_|sk-|eyJ"), re.compile(rf"(?:{'|'.join(TITL
 SPACE = re.compile(r"\s")
 #: Calling codes, by separator or by the numbering plan.
 COUNTRY = re.compile(r"\A\+(?:\d{1,3}(?:[ .-]|(?=\())|[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})(?=[(\d])")
+#: Most rounds in which clashing surrogates are renewed; the forms grow with the round.
+ROUNDS = 200
 
 
 def luhn(digits: str) -> bool:
@@ -230,8 +232,10 @@ def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
         local, domain = canonical.split("@")
         labels = domain.split(".")
         d = _Stream(key, "domain", domain)      # mentions of one domain stay together
-        return _alike(local, s) + "@" + ".".join([_alike(x, d) for x in labels[:-1]] + labels[-1:])
+        return _alike(local + "a" * (attempt // 4), s) + "@" + ".".join([_alike(x, d) for x in labels[:-1]] + labels[-1:])
     if kind == "ip":
+        if attempt > 3:                          # forms of few digits run out
+            return ".".join(str(1 + s.below(254)) for _ in range(4))
         low = {1: (1, 9), 2: (10, 90), 3: (100, 155)}
         return ".".join(str(low[len(x)][0] + s.below(low[len(x)][1])) for x in canonical.split("."))
     if kind == "ip6":
@@ -258,6 +262,8 @@ def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
             return gender + GIVEN[script, gender][s.below(len(GIVEN[script, gender]))]
         new = "".join(syllables[s.below(len(syllables))] for _ in range((3 if kind == "family" else 2) + attempt // 2)).capitalize()
         return new if kind == "family" else gender + new + ("" if gender == "m" else "a" if script == "latin" else "а")
+    if kind == "secret":
+        return _alike(canonical + "a" * (attempt // 4), s)
     return _alike(canonical, s)
 
 
@@ -270,6 +276,8 @@ def written(kind: str, mention: str, new: str) -> str:
     if kind == "iban":
         signs = iter(new)
         return re.sub(r"\S", lambda _: next(signs), mention)
+    if kind == "email" and len(mention) != len(new):
+        return new.upper() if mention.isupper() else new
     if kind == "email":
         return "".join(n.upper() if m.isupper() else n for m, n in zip(mention, new))
     if kind == "ip6":
@@ -312,12 +320,15 @@ def replaced(text: str, key: bytes, renewed: dict) -> tuple[str, int]:
     return "".join([*out, text[at:]]), n
 
 
-def pii_surrogates(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
+def pii_surrogates(docs: DataFrame, key: bytes = b"surrogates", rounds: int = ROUNDS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, text, n_entities``, the text with surrogates.
 
     A null text stays null with no entities. Whole texts are read. Rows of null id and rows
     that repeat an id are replaced like all others; other columns are not read; an empty
-    table gives an empty result. Texts without entities come through unchanged.
+    table gives an empty result. Texts without entities come through unchanged. Clashes
+    are renewed in forms that grow with the round; if some are left after ``rounds`` rounds,
+    as where a fixed format (phone, social security number) has fewer forms than the corpus
+    has entities, it fails.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
@@ -336,13 +347,16 @@ def pii_surrogates(docs: DataFrame, key: bytes = b"surrogates") -> DataFrame:
         return pd.Series([surrogate(k, c, a, key) for k, c, a in zip(kind, canonical, attempt)], dtype=object)
 
     chosen = saved(entities.withColumn("attempt", F.lit(0)).withColumn("new", new("kind", "canonical", "attempt")), "chosen")
-    for _ in range(60):                          # a kind with fewer forms than entities (tiny formats) cannot become distinct
+    for left in range(rounds, -1, -1):
         first = chosen.groupBy("kind", "new").agg(F.min("canonical").alias("first"))
         taken = entities.select("kind", F.col("canonical").alias("new"), F.lit(True).alias("taken"))
         checked = saved(chosen.join(first, ["kind", "new"]).join(taken, ["kind", "new"], "left").select(
             "kind", "canonical", "new", "attempt", (F.coalesce("taken", F.lit(False)) | (F.col("canonical") != F.col("first"))).alias("clash")), "checked")
         if checked.filter("clash").isEmpty():
             break
+        if not left:
+            few = sorted(r.kind for r in checked.filter("clash").select("kind").distinct().collect())
+            raise ValueError(f"after {rounds} rounds, different entities still share surrogates or these are entities: {', '.join(few)}")
         retry = checked.filter("clash").select("kind", "canonical", (F.col("attempt") + 1).alias("attempt"))
         chosen = saved(checked.filter("NOT clash").select("kind", "canonical", "attempt", "new").unionByName(
             retry.withColumn("new", new("kind", "canonical", "attempt"))), "chosen")

@@ -298,3 +298,15 @@ def test_names_agree_and_leave_nothing_of_a_person_in_clear():
     forms = "+15551234567 +1 555 123 4567 555 123 4567 2001:db8::1 2001:0DB8:0:0:0:0:0:1 std::vector"
     assert [(k, c) for *_, k, c in mentions(forms)] == [("phone", "5551234567")] * 3 + [("ip6", "2001:0db8:0000:0000:0000:0000:0000:0001")] * 2
     assert not re.search("5551234567|123 4567|2001", replaced(forms, b"k", {})[0])
+
+
+def test_surrogates_of_formats_with_few_forms_are_distinct_or_fail(spark):
+    from collidex.llm.pii import pii_surrogates
+    quads = {".".join(q) for q in itertools.product("123456789", repeat=4)}
+    got = pii_surrogates(spark.createDataFrame([(1, " ".join(sorted(quads)))], "doc_id long, text string")).first()
+    new = got.text.split(" ")
+    assert got.n_entities == len(new) == len(set(new)) == 9 ** 4 and not quads & set(new)
+    names = spark.createDataFrame([(i, f"Mr J{'abcdefghijklmnopqrstuvwxyz'[i]}n Smith") for i in range(26)], "doc_id long, text string")
+    assert len({r.text for r in pii_surrogates(names).collect()}) == 26
+    with pytest.raises(ValueError, match="given"):
+        pii_surrogates(names, rounds=0)
