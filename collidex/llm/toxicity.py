@@ -7,7 +7,8 @@ gaps allowed within a span of ``SPAN`` signs; a subsequence spanning s signs wei
 A support vector machine is trained on Nystrom features, the kernel to landmark words
 whitened by the landmarks' own kernel matrix. A sentence, and so a text, is as toxic
 as its worst word, so training alternates between choosing each toxic sentence's worst
-words and refitting (labels name documents, not words). Weights on landmarks are
+words and refitting (labels name documents, not words). A word of clean texts can be
+one if its share of toxic texts is high: labels err, and words have plain uses. Weights on landmarks are
 weights on their subsequences: the decision for a word is one table lookup per
 subsequence, the same number as the sum over landmarks, in time linear in its length.
 
@@ -173,16 +174,22 @@ def _train(pdf: pd.DataFrame) -> pd.DataFrame:
             c, c0 = min(c, n[1]), min(seen[0][g], n[0])
             share = (c + c0) / (n[0] + n[1])
             gram[g] = (c / n[1] - c0 / n[0]) / math.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1]) + 1e-12)
-    clean = held[0]
+    base = n[1] / (n[0] + n[1])
+
+    def leans(w: str) -> bool:
+        """Whether a word is found in toxic texts alone, or in far more of them than chance has it (their smoothed share)."""
+        toxic, clean = held[1][w], held[0][w]
+        return toxic > 0 and (not clean or (toxic + base) / (toxic + clean + 1) >= base + 0.75 * (1 - base))
+
     guess = {w: max((gram.get(g, 0.0) for g in _grams(w)), default=0.0) for w in held[1]}
     worst: Counter = Counter()
     for u, toxic in zip(docs, y):
         if toxic and u:
             top = max(guess[w] for w in u)
-            worst.update(w for w in u if top > 3 and guess[w] >= 0.5 * top and w not in clean)
+            worst.update(w for w in u if top > 3 and guess[w] >= 0.5 * top and leans(w))
     if not worst:
         return pd.DataFrame({"model": [pickle.dumps(None)]})
-    common = sorted(w for w in clean if len(w) > 2)
+    common = sorted(w for w in held[0] if len(w) > 2 and not leans(w))
     negatives = [common[i] for i in rng.permutation(len(common))[:NEGATIVES]]
     toxic_docs = [sorted(u) for u, t in zip(docs, y) if t and u]
     model, hard = None, []
@@ -206,7 +213,7 @@ def _train(pdf: pd.DataFrame) -> pd.DataFrame:
         known = dict(zip(held[1], model.words(list(held[1]))))
         for u in toxic_docs:
             f = np.array([known[w] for w in u])
-            worst.update(u[i] for i in np.flatnonzero((f >= 0.5 * f.max()) & (f > 0)) if u[i] not in clean)
+            worst.update(u[i] for i in np.flatnonzero((f >= 0.5 * f.max()) & (f > 0)) if leans(u[i]))
         if not worst:
             break
     top = np.array([model.text(None, u) for u in docs])

@@ -310,3 +310,17 @@ def test_surrogates_of_formats_with_few_forms_are_distinct_or_fail(spark):
     assert len({r.text for r in pii_surrogates(names).collect()}) == 26
     with pytest.raises(ValueError, match="given"):
         pii_surrogates(names, rounds=0)
+
+
+def test_an_insult_of_one_clean_text_is_still_learnt():
+    import pickle
+    import zlib
+
+    import pandas as pd
+    from collidex.llm.toxicity import Model, _train
+    rng = random.Random(3)
+    plain = ["".join(rng.choices("abcdefghijklmnoprstuvw", k=rng.randint(3, 9))) for _ in range(300)]
+    texts = [(" ".join(rng.choices(plain, k=20)) + (" blockhead" if i < 100 or i == 500 else ""), int(i < 100)) for i in range(900)]
+    raw = bytes(_train(pd.DataFrame([(i, i, t, y) for i, (t, y) in enumerate(texts)], columns=["h", "doc_id", "text", "y"]))["model"][0])
+    model = Model(*pickle.loads(zlib.decompress(raw)))
+    assert model.score(" ".join(plain[:20]) + " blockhead") > 0.7 > model.score(" ".join(plain[:20]))
