@@ -449,10 +449,9 @@ def q_mlp_predict(spark, sf_dir):
 
 @query("grid_search")
 def q_grid_search(spark, sf_dir):
-    """Cross-validated grid over block size, epochs and layer widths (small grid)."""
+    """Cross-validated grid over block size, epochs and layer widths (243 models)."""
     d = _emb_ml(spark, sf_dir).where(F.col("split") == "train")
-    _, table = MD.grid_search(d, 64, 10, batch=(64, 128), epochs=(20, 40), nh1=(32,), nh2=(16,),
-                              nh3=(12,), folds=3, parallelism=2)
+    _, table = MD.grid_search(d, 64, 10, folds=3, parallelism=2)
     return table
 
 
@@ -460,9 +459,7 @@ def q_grid_search(spark, sf_dir):
 def q_random_search(spark, sf_dir):
     """Seeded random draws per axis, then the cross-validated grid of the draws."""
     d = _emb_ml(spark, sf_dir).where(F.col("split") == "train")
-    space = {"batch": (1, 32, 256), "epochs": (2, 10, 40), "nh1": (1, 16, 64),
-             "nh2": (1, 8, 32), "nh3": (1, 10, 20)}
-    _, table = MD.random_search(d, 64, 10, space=space, folds=3, parallelism=2)
+    _, table = MD.random_search(d, 64, 10, folds=3, parallelism=2)
     return table
 
 

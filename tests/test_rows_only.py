@@ -17,3 +17,13 @@ def test_rows_only_queries(spark):
     rows = rf.collect()
     assert rows and set(rf.columns) >= {"vec_id", "label", "prediction", "probability"}
     assert all(abs(sum(r.probability) - 1) < 1e-9 for r in rows)
+
+
+def test_searches_try_the_whole_default_grids(spark, monkeypatch):
+    from collidex.plans import queries as Q
+    tried = []
+    monkeypatch.setattr(Q.MD, "_run_cv", lambda df, est, maps, *a: (None, tried.append(len(maps))))
+    monkeypatch.setattr(Q, "_emb_ml", lambda *a: spark.createDataFrame([("train",)], "split string"))
+    q = E.queries()
+    q["grid_search"](spark, SF0001), q["random_search"](spark, SF0001)
+    assert tried[0] == 3 ** 5 and 100 < tried[1] <= 2 * 4 * 4 * 4 * 3
