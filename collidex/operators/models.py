@@ -1,20 +1,15 @@
 """Models on MLlib: random forest (M6), feed-forward network (M7, also the
 single "train on Spark" call that stands in for the five distributed
-trainers, M8), scoring (M9), persistence (M10), grid and random search with
-cross-validation (M11, M12)."""
+trainers, M8), scoring (M9) and persistence (M10). Mini-batch networks and
+the searches (M11, M12) are in ``networks.py``."""
 
 from __future__ import annotations
 
-import itertools
-import random
-
 from pyspark.ml.classification import (MultilayerPerceptronClassificationModel,
                                        MultilayerPerceptronClassifier,
                                        RandomForestClassificationModel, RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_LAYERS = (14, 50, 20, 10, 3)
@@ -59,55 +54,3 @@ def load_model(path: str, kind: str = "network"):
     cls = {"network": MultilayerPerceptronClassificationModel,
            "forest": RandomForestClassificationModel}[kind]
     return cls.load(path)
-
-
-def _grid(est: MultilayerPerceptronClassifier, n_in: int, n_out: int, combos) -> list:
-    maps = []
-    for batch, epochs, h1, h2, h3 in combos:
-        maps.append({est.blockSize: int(batch), est.maxIter: int(epochs),
-                     est.layers: [n_in, int(h1), int(h2), int(h3), n_out]})
-    return maps
-
-
-def _run_cv(df, est, maps, folds, parallelism, metric, seed):
-    ev = MulticlassClassificationEvaluator(labelCol=est.getLabelCol(), metricName=metric)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=folds,
-                        parallelism=parallelism, seed=seed)
-    model = cv.fit(df)
-    rows = [(int(m[est.blockSize]), int(m[est.maxIter]), [int(x) for x in m[est.layers]], float(v))
-            for m, v in zip(maps, model.avgMetrics)]
-    spark = df.sparkSession
-    table = spark.createDataFrame(rows, f"block_size int, max_iter int, layers array<int>, {metric} double")
-    return model, table
-
-
-def grid_search(df: DataFrame, n_in: int, n_out: int, batch=(100, 200, 400), epochs=(30, 50, 80),
-                nh1=(50, 100, 150), nh2=(20, 50, 100), nh3=(10, 20, 50), folds: int = 3,
-                parallelism: int = 4, metric: str = "accuracy", seed: int = 42):
-    """Full grid (3^5 = 243 models by default) with k-fold cross-validation.
-
-    Returns (CrossValidatorModel, table of average metric per combination).
-    Each fit is a distributed MLlib job; ``parallelism`` fits run at once.
-    """
-    est = network((n_in, 1, n_out), seed=seed)
-    maps = _grid(est, n_in, n_out, itertools.product(batch, epochs, nh1, nh2, nh3))
-    return _run_cv(df, est, maps, folds, parallelism, metric, seed)
-
-
-def random_search(df: DataFrame, n_in: int, n_out: int, space: dict | None = None, seed: int = 42,
-                  folds: int = 3, parallelism: int = 4, metric: str = "accuracy"):
-    """Seeded draws per axis (2x4x4x4x3 values by default), then the full
-    grid of the drawn values, cross-validated like :func:`grid_search`."""
-    space = space or {"batch": (2, 32, 512), "epochs": (4, 20, 100), "nh1": (4, 10, 200),
-                      "nh2": (4, 10, 100), "nh3": (3, 10, 50)}
-    rng = random.Random(seed)
-    draws = {k: sorted({rng.randint(lo, hi) for _ in range(n)}) for k, (n, lo, hi) in space.items()}
-    est = network((n_in, 1, n_out), seed=seed)
-    maps = _grid(est, n_in, n_out, itertools.product(*(draws[k] for k in
-                                                       ("batch", "epochs", "nh1", "nh2", "nh3"))))
-    return _run_cv(df, est, maps, folds, parallelism, metric, seed)
-
-
-def search_summary(spark: SparkSession, table: DataFrame, metric: str = "accuracy") -> DataFrame:
-    """M13 helper: best combination of a search table."""
-    return table.orderBy(F.desc(metric)).limit(1)

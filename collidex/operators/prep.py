@@ -97,13 +97,6 @@ def undersample(df: DataFrame, label: str = "label", key: str = "event_id",
     return r.where(F.col("rank") <= m).drop("_mk", "rank")
 
 
-def sample_by_class(df: DataFrame, label: str = "label", seed: int = 42) -> DataFrame:
-    """M5 (approximate form): Bernoulli sampling towards the smallest class size."""
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}  # one row per class
-    m = min(counts.values()) if counts else 0
-    return df.sampleBy(label, {k: min(1.0, m / v) for k, v in counts.items()}, seed)
-
-
 def fixed_subset(df: DataFrame, n: int, key: str = "event_id", n_blocks: int = 64) -> DataFrame:
     """M5: exactly ``n`` rows (or all, if fewer) in mixed-key order - a
     reproducible fixed-size sample. The rank is the blocked exact rank, so no

@@ -240,6 +240,34 @@ FROM efs e, lim""")
 ORACLE["vector_columns"] = with_(P, "SELECT event_id, label, " + ", ".join(
     f"{r6(c)} AS f{i}" for i, c in enumerate(_EFC)) + " FROM ef")
 
+# ----------------------------------------------------------------- models ---
+# The searched values: the grid's, and the draws of seed 42.
+_SPACES = {
+    "grid": {"batch": [100, 200, 400], "epochs": [30, 50, 80], "nh1": [50, 100, 150], "nh2": [20, 50, 100], "nh3": [10, 20, 50]},
+    "random": {"batch": [359, 89], "epochs": [23, 55, 51, 48], "nh1": [45, 198, 36, 183], "nh2": [79, 21, 85, 64], "nh3": [12, 11, 15]}}
+
+
+def _space(kind: str) -> str:
+    """All combinations of one search, numbered with the last axis running fastest."""
+    axes = _SPACES[kind]
+    number = "0"
+    for c, v in axes.items():
+        number = f"({number} * {len(v)} + i_{c})"
+    return f"SELECT '{kind}' AS search, CAST({number} AS INTEGER) AS combination, " + ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in axes) + (
+        " FROM " + ", ".join(f"(SELECT unnest({v}) AS {c}, unnest(range({len(v)})) AS i_{c})" for c, v in axes.items()))
+
+
+_TRAIN = P + f""",
+train AS (SELECT event_id, CAST({_MIX} % 3 AS INTEGER) AS fold FROM ef WHERE {_SPLIT} = 'train')"""
+ORACLE["search_space"] = with_(_TRAIN, f"""
+SELECT s.*, CAST(f.fold AS INTEGER) AS fold, (SELECT count(*) FROM train t WHERE t.fold = f.fold) AS tested
+FROM ({_space('grid')} UNION ALL {_space('random')}) s, (SELECT unnest(range(3)) AS fold) f""")
+# one worker (up to 50,000 events), 50 epochs in batches of 128
+ORACLE["training_history"] = with_(_TRAIN, """
+SELECT trainer, CAST(0 AS INTEGER) AS worker_id, CAST(50 * ceil(n / 128e0) AS BIGINT) AS iterations
+FROM (SELECT 'without_fold_' || f.fold AS trainer, count(*) AS n FROM train t, (SELECT unnest(range(3)) AS fold) f WHERE t.fold <> f.fold GROUP BY 1
+      UNION ALL SELECT 'all_rows', count(*) FROM train)""")
+
 # ----------------------------------------------------------------- images ---
 import math  # noqa: E402
 

@@ -447,22 +447,6 @@ def q_mlp_predict(spark, sf_dir):
                     keep=["event_id", "label"])
 
 
-@query("grid_search")
-def q_grid_search(spark, sf_dir):
-    """Cross-validated grid over block size, epochs and layer widths (243 models)."""
-    d = _emb_ml(spark, sf_dir).where(F.col("split") == "train")
-    _, table = MD.grid_search(d, 64, 10, folds=3, parallelism=2)
-    return table
-
-
-@query("random_search")
-def q_random_search(spark, sf_dir):
-    """Seeded random draws per axis, then the cross-validated grid of the draws."""
-    d = _emb_ml(spark, sf_dir).where(F.col("split") == "train")
-    _, table = MD.random_search(d, 64, 10, folds=3, parallelism=2)
-    return table
-
-
 # ----------------------------------------------------------------- images ---
 
 from collidex.operators import images as IM  # noqa: E402
@@ -555,3 +539,6 @@ def q_fixed_subset(spark, sf_dir):
     """M5: reproducible fixed-size sample of 500 events (sampling is the feature)."""
     _, events = fixture(spark, sf_dir)
     return PR.fixed_subset(events.select("event_id", "label"), 500)
+
+
+from collidex.plans import model_queries  # noqa: E402,F401  (registers the training queries)
