@@ -7,10 +7,10 @@ Over the weights (text lengths) slides a window of ``width`` lines. Where its su
 rises from zero the text surges, where it falls back to zero it dives; the text
 between the two is kept if the sum in between exceeds ``surge``. A shorter run is kept
 within ``near`` lines of a kept one. Runs end where an article begins or ends. A page
-that never gets there keeps its highest run.
+that never gets there keeps all runs on that side of its articles where the highest is.
 
-Words of class and id also name the layout of wrappers. They do not remove an element
-with a main element in it, with all of the page's articles or, for words of layout, with
+Words of class and id also name the layout of wrappers, and a form may hold a whole page.
+They do not remove an element with a main element in it, with all of the page's articles or, for words of layout, with
 most of the page's text; nor anything where nothing would be left.
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ from collidex.llm.common import table
 BLOCKS = set("address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset "
              "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li link main menu meta "
              "nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr ul".split())
-DROPPED = set("nav header footer aside form menu button select fieldset dialog head title noscript template iframe object "
+DROPPED = set("nav header footer aside menu button select fieldset dialog head title noscript template iframe object "
               "svg math canvas audio video datalist".split())
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "svg", "iframe", "noembed", "noframes", "xmp")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,16 +43,67 @@ NOT_MAIN = set("ad ads advert adverts advertisement advertising sponsor sponsore
                "notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments reply replies "
                "disqus sidebar sidebars widget widgets related recommended recommendations share sharing social breadcrumb breadcrumbs menu "
                "menus nav navbar navigation footer header masthead pagination pager toolbar copyright legal disclaimer".split())
-LAYOUT = set("sidebar sidebars widget widgets menu menus nav navbar navigation footer header masthead toolbar banner breadcrumb breadcrumbs".split())
+LAYOUT = set("form sidebar sidebars widget widgets menu menus nav navbar navigation footer header masthead toolbar banner breadcrumb breadcrumbs".split())
 REPEATED = set("comment comments reply replies disqus related recommended recommendations".split())       # their elements often hold articles of their own
 WRAPS = set("wrap wrapper container layout".split())
 NEGATED = set("has with no without".split())
 ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 
 _SPACE = re.compile(r"[\s​﻿]+")
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
+_START = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+_STOP = re.compile(r">|=\s*+[\"']")
+_ATTR = re.compile(r"(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_RAW_END = {t: re.compile(rf"</{t}\s*+>", re.I) for t in RAW}
+_ZEROS, _BEYOND = re.compile(r"&#([xX]?)0+(?=[0-9a-fA-F])"), re.compile(r"&#(?:[xX][0-9a-fA-F]{7,}|[0-9]{8,});?")
+
+
+class Tags:
+    """The tags of a page, each byte passed a bounded number of times however malformed they are.
+
+    A quote opens a value only behind ``=`` and if it is closed later; ``>`` within a value
+    does not end the tag. Once a tag has come to the end of the page in that way, it and
+    all later ones end at their first ``>``.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.quotes = True                                   # whether values are still respected
+        self.closed = {q: page.rfind(q) for q in "\"'"}      # the last quote of each kind
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """(start, end, name or empty for comments and declarations, closing, attributes) of the next tag."""
+        page = self.page
+        while m := _START.search(page, at):
+            if m[0] == "<!--":
+                end = page.find("-->", m.end())
+                return m.start(), end + 3 if end >= 0 else len(page), "", False, ""
+            if m.end() > self.last:
+                return None                                  # no tag can end any more
+            if not m[2]:
+                return m.start(), page.index(">", m.end()) + 1, "", False, ""
+            end = self._end(m.end())
+            return m.start(), end + 1, m[2].lower(), bool(m[1]), page[m.end():end]
+        return None
+
+    def _end(self, first: int) -> int:
+        at = first
+        while self.quotes:
+            m = _STOP.search(self.page, at)
+            if not m:
+                self.quotes = False
+            elif m[0] == ">":
+                return m.start()
+            else:
+                quote = m[0][-1]
+                at = self.page.index(quote, m.end()) + 1 if m.end() <= self.closed[quote] else m.end()
+        return self.page.index(">", first)
+
+
+def _decoded(text: str) -> str:
+    """Character references decoded; those beyond all code points, of any length, become the replacement sign."""
+    if "&#" in text:
+        text = _BEYOND.sub("\ufffd", _ZEROS.sub(r"&#\1", text))
+    return html.unescape(text)
 
 
 def _off(name: str, attrs: str) -> bool:
@@ -70,8 +122,8 @@ def _off(name: str, attrs: str) -> bool:
 
 
 def _named(name: str, attrs: str) -> set[str]:
-    """Words of class and id that name what is not main text, and those of ``WRAPS`` beside them."""
-    found = set()
+    """Words of class and id that name what is not main text, and those of ``WRAPS`` beside them; ``form`` for a form."""
+    found = {"form"} if name == "form" else set()
     for m in _ATTR.finditer(attrs) if name not in KEPT else ():
         if m[1].lower() in ("class", "id"):
             for token in (m[2] or m[3] or m[4] or "").lower().split():
@@ -83,14 +135,15 @@ def _named(name: str, attrs: str) -> set[str]:
 
 def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     """(text, characters within links, not main text, inside an article) of each block, in page order."""
-    out, text, stack = [], [], []
+    out, text, stack, depth = [], [], [], Counter()
+    tags = Tags(page)
     off, inside, link, linked, at, n = 0, 0, 0, 0, 0, len(page)
     named, open_, articles = [], [], 0          # elements named by class or id: words, main and article elements in them; the open ones
 
     def flush():
         nonlocal linked
         if text:
-            t = _SPACE.sub(" ", html.unescape("".join(text))).strip()
+            t = _SPACE.sub(" ", _decoded("".join(text))).strip()
             if t:
                 out.append((t, linked, off > 0, inside > 0, tuple(open_)))
             text.clear()
@@ -99,32 +152,32 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
     def pop():
         nonlocal off, inside
         name, flag, words = stack.pop()
+        depth[name] -= 1
         off -= flag
         if words:
             open_.pop()
         inside -= name in ("article", "main")
 
     while at < n:
-        m = _TOKEN.search(page, at)
-        piece = page[at:m.start() if m else n]
-        if not m and (cut := re.search(r"<[a-zA-Z/!][^<]*\Z", piece)):      # a tag cut off by the end of the page
+        tag = tags.next(at)
+        piece = page[at:tag[0] if tag else n]
+        if not tag and (cut := re.search(r"<[a-zA-Z/!][^<]*\Z", piece)):      # a tag cut off by the end of the page
             piece = piece[:cut.start()]
         if piece:
             text.append(piece)
             linked += len(piece) if link else 0
-        if not m:
+        if not tag:
             break
-        at = m.end()
-        if not m[2]:
+        _, at, name, closing, attrs = tag
+        if not name:
             continue
-        name, closing = m[2].lower(), bool(m[1])
         if name in BLOCKS or name in DROPPED:
             flush()
         if name == "a":
             link = not closing
             continue
         if closing:
-            if any(x[0] == name for x in stack):
+            if depth[name]:
                 while stack[-1][0] != name:
                     pop()
                 pop()
@@ -133,7 +186,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             end = _RAW_END[name].search(page, at)
             at = end.end() if end else n
             continue
-        if name in VOID or m[3].rstrip().endswith("/") and name not in BLOCKS:
+        if name in VOID or attrs.rstrip().endswith("/") and name not in BLOCKS:
             continue
         if name in CLOSES_P and stack and any(x[0] == "p" for x in stack[-4:]):
             while stack[-1][0] != "p":
@@ -143,13 +196,14 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             pop()
         if name in BLOCKS or name in DROPPED:
             link = 0
-        elif not m[3].strip():
+        elif not attrs.strip():
             continue                                                         # plain inline markup
-        flag = _off(name, m[3])
-        words = set() if flag else _named(name, m[3])
+        flag = _off(name, attrs)
+        words = set() if flag else _named(name, attrs)
         if (flag or words) and name not in BLOCKS:
             flush()
         stack.append((name, flag, words))
+        depth[name] += 1
         off += flag
         if words:
             open_.append(len(named))
@@ -167,7 +221,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             held[i] += len(t)
     most = sum(len(t) for t, _, away, _, _ in out if not away) / 2
     bars = {i for i, (words, mains, own) in enumerate(named) if not (
-        mains or articles and own == articles and (words & WRAPS or not words & REPEATED) or held[i] > most and words & (LAYOUT | WRAPS))}
+        mains or articles and own == articles and (words & WRAPS or not words & REPEATED)
+        or held[i] > most and words & (LAYOUT | WRAPS) and not ("form" in words and articles))}
     if all(away or bars.intersection(within) for _, _, away, _, within in out):
         bars = set()
     return [(t, links, away or not bars.isdisjoint(within), within_article) for t, links, away, within_article, within in out]
@@ -209,7 +264,7 @@ def extract(page: str | None, width: int = 3, surge: int = 86, near: int = 12) -
         every += runs
     if not kept and every:
         best = max(every, key=lambda r: (r[0], within[r[1]], -r[1]))
-        kept = [best]
+        kept = [r for r in every if within[r[1]] == within[best[1]]]
     own = {k for _, i, j in kept for k in range(i, j) if weight[k] and within[k] == within[i]}
     return " ".join(lines[k][0] for k in sorted(own))
 

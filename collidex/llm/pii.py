@@ -55,7 +55,8 @@ PATTERN = re.compile("|".join([
     rf"(?P<ip6>(?<![\w:])(?:(?:{_HEX4}:){{7}}{_HEX4}|(?:{_HEX4}(?::{_HEX4}){{0,6}})?::(?:{_HEX4}(?::{_HEX4}){{0,6}})?)(?![\w:]))",
     r"(?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]))",
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
-    r"(?P<phone>(?<![\w.+])\+[1-9]\d{7,14}(?!\w)|(?<![\w.+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}|(?<=\d[ .-])\d{2,4}(?:[ .-]?\d{2,4}){2,3}|0\d{2,4}[ /-]\d{5,8})(?![\w]))",
+    r"(?P<phone>(?<![\w.+])(?:\+[1-9]\d{7,14}|(?:\+\d{1,3}[ .-]?|(?<!\d[.-])(?:1[ .-])?)(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4}(?![.-]\d))"
+    r"|\+\d{1,3}[ .-]?(?:\d{1,2}(?:[ .-]\d{2}){4}|\d{2,4}(?:[ .-]?\d{2,4}){2,3})|(?<!\d[.-])0\d{2,4}[ /-]\d{5,8}(?![.-]\d))(?!\w))",
     r"(?P<hex>\b(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})\b)",
     rf"(?P<name>\b(?P<titles>(?:{_TITLE}\.?(?:{_GAP}|\n))+){_REST}(?:{_GAP}{_REST})*)",
 ]))

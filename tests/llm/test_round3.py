@@ -228,3 +228,56 @@ def test_witnesses_of_an_open_subtree_grow_with_later_appends():
         for s in w:
             d = merkle.H(s["left"] + d + s["right"])
         assert d == root
+
+
+# ---------------------------------------------------------- 6 and 9 ---
+
+@pytest.mark.parametrize("text", ["2024-01-15 12:30:45", "ISBN 978-3-16-148410-0", "10 20 30 40 50", "1 200 300 400 EUR", "1999-2000-2001",
+                                  "12.345.678.901", "2024-01-15T12:30", "3.14159 26535 8979", "07 01 2024 12345", "0.5 12 13.5 99 100"])
+def test_dates_and_numbers_are_no_personal_data(text):
+    from collidex.llm.pii import mentions, replaced
+    assert list(mentions(text)) == []
+    assert replaced(text, b"k", {}) == (text, 0)
+
+
+@pytest.mark.parametrize("phone", ["555 123 4567", "(555) 123-4567", "+1 555 123 4567", "+49 30 1234 5678", "030 1234567", "+15551234567",
+                                   "1-555-123-4567", "+44 (20) 7946 0958", "0170/1234567", "+33 1 23 45 67 89", "212.555.0187"])
+def test_phones_are_found_whole(phone):
+    from collidex.llm.pii import PATTERN, _matches
+    assert [(m.lastgroup, m[0]) for m in _matches(f"call {phone}, or 2024-01-15")] == [("phone", phone)]
+    assert PATTERN.search(f"x{phone}9") is None or PATTERN.search(f"x{phone}9")[0] != phone
+
+
+N = 1_000_000
+MALFORMED = {"quotes": '<a"' * (N // 3), "classes": '<p class="' * (N // 10), "open": "a <b " * (N // 5), "quotes, one end": '<a"' * (N // 3) + ">",
+             "classes, one end": '<p class="' * (N // 10) + ">", "odd": '<a href="x>y ' * (N // 13), "equals": "<a =" + " =" * (N // 2),
+             "letters": "<p " + "a" * N + ">", "less": "<" * N, "comments": "<!--" * (N // 4), "raw": "<script>" + "</script " * (N // 9),
+             "declarations": "<!x" * (N // 3), "digits": "x &#" + "9" * N + "; y", "zeros": "x &#" + "0" * N + "65; y"}
+
+
+@pytest.mark.parametrize("kind", MALFORMED)
+def test_malformed_pages_take_linear_time(kind):
+    import time
+    from collidex.llm.main_text import extract
+    start = time.process_time()
+    extract(MALFORMED[kind])
+    assert time.process_time() - start < 3
+
+
+def test_references_beyond_all_code_points():
+    from collidex.llm.main_text import extract
+    assert extract("<p>x &#" + "9" * 6000 + "; y &#" + "0" * 6000 + "65; &#x1F642; &amp;</p>") == "x � y A \U0001f642 &"
+
+
+def test_short_pages_and_pages_within_a_form():
+    from collidex.llm.main_text import extract
+    assert extract("<h1>T</h1><p>Hi there.</p>" + "<nav>a</nav>" * 4 + "<p>Second short</p>") == "T Hi there. Second short"
+    assert extract('<body><form id="f"><h1>Title</h1><p>Some text here.</p></form></body>') == "Title Some text here."
+    main = "This is the long text of an article, which goes on for a while and then ends. " * 3
+    assert extract(f"<article><p>{main}</p></article><form>Your name <input> {main * 3}</form>") == main.strip()
+    assert extract(f"<p>{main}</p><form>Your name: <input></form>") == main.strip()
+
+
+def test_greater_signs_in_values():
+    from collidex.llm.main_text import extract
+    assert extract('<p title="a > b">One</p><p title=\'x>y\' data-a = "1>2">Two</p><p title="open>Three</p>') == "One Two Three"
