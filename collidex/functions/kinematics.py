@@ -44,6 +44,11 @@ def r6(x) -> Column:
     return F.floor(_c(x) * F.lit(1e6) + F.lit(R6_OFFSET)) / F.lit(1e6) + F.lit(0.0)
 
 
+def r3(x) -> Column:
+    """As :func:`r6` on the 1e-3 grid, for sums of many terms."""
+    return F.floor(_c(x) * F.lit(1e3) + F.lit(R6_OFFSET)) / F.lit(1e3) + F.lit(0.0)
+
+
 def four_vector(pt, eta, phi, m=0.0) -> dict[str, Column]:
     """K1: px, py, pz, e from (pt, eta, phi, m); pt is taken as |pt|."""
     pt, eta, phi, m = _c(pt), _c(eta), _c(phi), _c(m)

@@ -15,6 +15,10 @@ def r6(expr: str) -> str:
     return f"(floor(({expr}) * 1e6 + 0.5234567e0) / 1e6 + 0e0)"
 
 
+def r3(expr: str) -> str:
+    return f"(floor(({expr}) * 1e3 + 0.5234567e0) / 1e3 + 0e0)"
+
+
 def d(x: float) -> str:
     """A double literal."""
     return repr(float(x)) + "e0" if "e" not in repr(float(x)) else repr(float(x))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collidex.config import DEFAULT_CUTS, EVENT_FEATURES, PARTICLE_FEATURES, TIGHT_CUTS
-from collidex.plans.oracle import FIXTURE, feature_ctes, r6, rounded, with_, wrap_sql
+from collidex.plans.oracle import FIXTURE, feature_ctes, r3, r6, rounded, with_, wrap_sql
 
 ORACLE: dict[str, str] = {}
 P = feature_ctes(DEFAULT_CUTS)
@@ -274,7 +274,7 @@ import math  # noqa: E402
 from collidex.functions.kinematics import grid_shape  # noqa: E402
 from collidex.plans.oracle import d  # noqa: E402
 
-_RES = 10
+_RES = 100
 _NETA, _NPHI, _EETA, _EPHI = grid_shape(_RES, 5.0)
 _PTS = P + f""",
 pts0 AS (
@@ -296,13 +296,12 @@ _TP = repr(2 * math.pi)
 
 
 def _e(i, j):
-    return (f"(CASE WHEN ((vx{i} <= x AND x < vx{j}) OR (vx{j} <= x AND x < vx{i})) AND "
-            f"(y < (vy{j} - vy{i}) * (x - vx{i}) / (CASE WHEN vx{j} - vx{i} = 0 THEN NULL ELSE vx{j} - vx{i} END) + vy{i}) "
-            f"THEN 1 ELSE 0 END)")
+    """Where the edge from vertex i to vertex j crosses row x."""
+    return (f"CASE WHEN (vx{i} <= x AND x < vx{j}) OR (vx{j} <= x AND x < vx{i}) THEN "
+            f"(vy{j} - vy{i}) * (x - vx{i}) / (CASE WHEN vx{j} - vx{i} = 0 THEN NULL ELSE vx{j} - vx{i} END) + vy{i} END")
 
 
-_par = "CASE nv " + " ".join(
-    f"WHEN {n} THEN (" + " + ".join(_e(i, (i - 1) % n) for i in range(n)) + ") % 2" for n in (3, 4, 5)) + " END"
+_cross = "CASE nv " + " ".join(f"WHEN {n} THEN [" + ", ".join(_e(i, (i - 1) % n) for i in range(n)) + "]" for n in (3, 4, 5)) + " END"
 _vert = ", ".join(
     f"CASE WHEN nv > {k} THEN cx + R * cos({d(k)} * ({_TP} / nv)) END AS vx{k}, "
     f"CASE WHEN nv > {k} THEN cy + R * sin({d(k)} * ({_TP} / nv)) END AS vy{k}" for k in range(5))
@@ -320,32 +319,60 @@ pc2 AS (
     CASE WHEN nv = 0 THEN greatest(ceil(cy - R), 0) ELSE greatest(floor(least(vy0, vy1, vy2, vy3, vy4)), 0) END AS y0,
     CASE WHEN nv = 0 THEN least(floor(cy + R), {_NPHI - 1}) ELSE least(ceil(greatest(vy0, vy1, vy2, vy3, vy4)), {_NPHI - 1}) END AS y1
   FROM pc1),
-pix AS (
-  SELECT pc2.*, CAST(gx.x AS DOUBLE) AS x, CAST(gy.y AS DOUBLE) AS y
-  FROM pc2, generate_series(CAST(x0 AS BIGINT), CAST(x1 AS BIGINT)) gx(x), generate_series(CAST(y0 AS BIGINT), CAST(y1 AS BIGINT)) gy(y)
-  WHERE x0 <= x1 AND y0 <= y1),
-cov AS (
-  SELECT DISTINCT event_id, pos, ptype, CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y FROM pix
-  WHERE CASE WHEN nv = 0
-             THEN (((x - x0) - (cx - x0)) / R) * (((x - x0) - (cx - x0)) / R)
-                  + (((y - y0) - (cy - y0)) / R) * (((y - y0) - (cy - y0)) / R) < 1
-             ELSE {_par} = 1 END),
-bl AS (
-  SELECT event_id, x, y,
+lin AS (SELECT pc2.*, CAST(gx.x AS DOUBLE) AS x FROM pc2, generate_series(CAST(x0 AS BIGINT), CAST(x1 AS BIGINT)) gx(x) WHERE x0 <= x1 AND y0 <= y1),
+-- discs by the test of every pixel of the row; polygons by the two crossings
+cols AS (
+  SELECT event_id, pos, ptype, x, list_filter(generate_series(CAST(y0 AS BIGINT), CAST(y1 AS BIGINT)),
+         lambda y: (((x - x0) - (cx - x0)) / R) * (((x - x0) - (cx - x0)) / R) + (((y - y0) - (cy - y0)) / R) * (((y - y0) - (cy - y0)) / R) < 1) AS ys
+  FROM lin WHERE nv = 0),
+spans0 AS (
+  SELECT event_id, pos, ptype, CAST(x AS INTEGER) AS x, list_min(ys) AS a, list_max(ys) AS b FROM cols WHERE len(ys) > 0
+  UNION ALL
+  SELECT event_id, pos, ptype, CAST(x AS INTEGER), greatest(CAST(ceil(list_min(c)) AS BIGINT), CAST(y0 AS BIGINT)), least(CAST(ceil(list_max(c)) AS BIGINT) - 1, CAST(y1 AS BIGINT))
+  FROM (SELECT *, {_cross} AS c FROM lin WHERE nv > 0) WHERE list_min(c) IS NOT NULL),
+spans AS MATERIALIZED (
+  -- a copy's columns behind those of the copies before it
+  SELECT event_id, pos, ptype, x, greatest(a, coalesce(max(b) OVER (PARTITION BY event_id, pos, x ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1, a)) AS a, b
+  FROM spans0 WHERE a <= b),
+cuts AS (SELECT DISTINCT event_id, x, c FROM (SELECT event_id, x, a AS c FROM spans WHERE a <= b UNION ALL SELECT event_id, x, b + 1 FROM spans WHERE a <= b)),
+segs AS (SELECT event_id, x, c AS y0, lead(c) OVER (PARTITION BY event_id, x ORDER BY c) - 1 AS y1 FROM cuts),
+held AS (
+  SELECT s.event_id, s.x, s.y0, s.y1, p.ptype, row_number() OVER (PARTITION BY s.event_id, s.x, s.y0 ORDER BY p.pos DESC) - 1 AS j
+  FROM segs s JOIN spans p ON p.event_id = s.event_id AND p.x = s.x AND p.a <= s.y0 AND p.b >= s.y1 WHERE s.y1 IS NOT NULL),
+bl AS MATERIALIZED (
+  SELECT event_id, x, y0, y1,
          pow(0.7e0, count(*)) + sum(0.3e0 * pow(0.7e0, j) * cr) AS r,
          pow(0.7e0, count(*)) + sum(0.3e0 * pow(0.7e0, j) * cg) AS g,
          pow(0.7e0, count(*)) + sum(0.3e0 * pow(0.7e0, j) * cb) AS b
-  FROM (SELECT *, row_number() OVER (PARTITION BY event_id, x, y ORDER BY pos DESC) - 1 AS j,
-               CASE WHEN ptype IN (0, 1) THEN 1e0 ELSE 0e0 END AS cr,
+  FROM (SELECT *, CASE WHEN ptype IN (0, 1) THEN 1e0 ELSE 0e0 END AS cr,
                CASE WHEN ptype = 1 THEN 1e0 WHEN ptype IN (3, 4) THEN {repr(128 / 255)} ELSE 0e0 END AS cg,
                CASE WHEN ptype = 2 THEN 1e0 ELSE 0e0 END AS cb
-        FROM cov)
-  GROUP BY event_id, x, y)"""
-ORACLE["image_pixels"] = with_(_COV, "SELECT event_id, ptype, count(*) AS n_hits FROM cov GROUP BY event_id, ptype")
+        FROM held)
+  GROUP BY event_id, x, y0, y1)"""
+ORACLE["image_pixels"] = with_(_COV, "SELECT event_id, ptype, CAST(sum(b - a + 1) AS BIGINT) AS n_hits FROM spans WHERE a <= b GROUP BY event_id, ptype")
 ORACLE["image_blend"] = with_(_COV, f"""
-SELECT event_id, count(*) AS n_pixels, {r6('sum(r)')} AS sum_r, {r6('sum(g)')} AS sum_g, {r6('sum(b)')} AS sum_b,
-       {r6('min(r)')} AS min_r
+SELECT event_id, CAST(sum(y1 - y0 + 1) AS BIGINT) AS n_pixels, {r3('sum(r * (y1 - y0 + 1))')} AS sum_r, {r3('sum(g * (y1 - y0 + 1))')} AS sum_g,
+       {r3('sum(b * (y1 - y0 + 1))')} AS sum_b, {r6('min(r)')} AS min_r
 FROM bl GROUP BY event_id""")
+ORACLE["image_dense"] = with_(_COV, f"""
+SELECT e.event_id, e.label, {_NETA} AS n_eta, {_NPHI} AS n_phi,
+       {r6(f"({_NETA * _NPHI * 3}e0 + coalesce(sum((r + g + b - 3e0) * (y1 - y0 + 1)), 0)) / {_NETA * _NPHI * 3}e0")} AS mean_value
+FROM ef e LEFT JOIN bl USING (event_id) GROUP BY e.event_id, e.label""")
+_byte = "lpad(to_hex(CAST(greatest(least(floor({c} * 255 + 0.5000001e0), 255), 0) AS INTEGER)), 2, '0')"
+ORACLE["image_struct"] = with_(_COV + f""",
+filled AS (
+  SELECT event_id, x, y0, y1, {' || '.join(_byte.format(c=c) for c in 'bgr')} AS colour,
+         coalesce(lag(y1) OVER w, -1) AS before, lead(y0) OVER w IS NULL AS last
+  FROM bl WINDOW w AS (PARTITION BY event_id, x ORDER BY y0)),
+lined AS (
+  SELECT event_id, x, string_agg(repeat('FFFFFF', y0 - before - 1) || repeat(colour, y1 - y0 + 1)
+                                 || CASE WHEN last THEN repeat('FFFFFF', {_NPHI - 1} - y1) ELSE '' END, '' ORDER BY y0) AS digits
+  FROM filled GROUP BY event_id, x),
+every AS (SELECT event_id, x, coalesce(digits, repeat('FFFFFF', {_NPHI})) AS digits
+          FROM (SELECT event_id, unnest(range({_NETA})) AS x FROM ef) LEFT JOIN lined USING (event_id, x))""", f"""
+SELECT event_id, {_NETA} AS height, {_NPHI} AS width, 3 AS n_channels, {_NETA * _NPHI * 3} AS n_bytes,
+       sha256(unhex(string_agg(digits, '' ORDER BY x))) AS data_sha256
+FROM every GROUP BY event_id""")
 
 # ------------------------------------------------- skew-safe formulations ---
 ORACLE["particle_features_skew_safe"] = ORACLE["particle_features"]

@@ -451,7 +451,6 @@ def q_mlp_predict(spark, sf_dir):
 
 from collidex.operators import images as IM  # noqa: E402
 
-IMAGE_RES = 10  # coarse raster for the registered checks (50 x 31 pixels)
 
 
 def _image_inputs(spark, sf_dir):
@@ -468,41 +467,40 @@ def q_image_points(spark, sf_dir):
 
 @query("image_pixels")
 def q_image_pixels(spark, sf_dir):
-    """Covered (point, pixel) pairs per event and point type."""
+    """Covered (point, pixel) pairs per event and point type, on the whole 500 x 314 raster."""
     pf, ef = _image_inputs(spark, sf_dir)
-    cov = IM.cover(IM.image_points(pf, ef), res=IMAGE_RES)
-    return cov.groupBy("event_id", "ptype").agg(F.count(F.lit(1)).alias("n_hits"))
+    return IM.cover_counts(IM.scanlines(IM.image_points(pf, ef)))
 
 
 @query("image_blend")
 def q_image_blend(spark, sf_dir):
-    """Blended image per event, summarised (touched pixels, channel sums)."""
+    """Blended 500 x 314 image per event, summarised (touched pixels, channel sums)."""
     pf, ef = _image_inputs(spark, sf_dir)
-    px = IM.event_pixels(pf, ef, res=IMAGE_RES)
-    return rounded(px.groupBy("event_id").agg(
-        F.count(F.lit(1)).alias("n_pixels"), F.sum("r").alias("sum_r"),
-        F.sum("g").alias("sum_g"), F.sum("b").alias("sum_b"), F.min("r").alias("min_r")))
+    runs = IM.event_runs(pf, ef).withColumn("n", F.col("y1") - F.col("y0") + 1)
+    return runs.groupBy("event_id").agg(
+        F.sum("n").cast("long").alias("n_pixels"), *[K.r3(F.sum(F.col(c) * F.col("n"))).alias(f"sum_{c}") for c in "rgb"],
+        K.r6(F.min("r")).alias("min_r"))
 
 
 @query("image_dense")
 def q_image_dense(spark, sf_dir):
-    """Dense image arrays (coarse raster) with labels."""
+    """Dense 500 x 314 x 3 image arrays of all events with their labels, summarised by size and mean value."""
     pf, ef = _image_inputs(spark, sf_dir)
-    img = IM.dense_images(IM.event_pixels(pf, ef, res=IMAGE_RES), res=IMAGE_RES,
-                          labels=ef.select("event_id", "label"))
-    return img.select("event_id", "label", F.size("image").alias("n_eta"),
-                      F.size(F.get(F.col("image"), 0)).alias("n_phi"))
+    img = IM.dense_images(IM.event_runs(pf, ef), labels=ef.select("event_id", "label"))
+    row_sum = F.transform("image", lambda row: F.aggregate(row, F.lit(0.0), lambda s, p: s + p[0] + p[1] + p[2]))
+    n_eta, n_phi = F.size("image"), F.size(F.get(F.col("image"), 0))
+    total = F.aggregate(row_sum, F.lit(0.0), lambda s, v: s + v)
+    return img.select("event_id", "label", n_eta.alias("n_eta"), n_phi.alias("n_phi"), K.r6(total / (n_eta * n_phi * 3)).alias("mean_value"))
 
 
 @query("image_struct")
 def q_image_struct(spark, sf_dir):
-    """I8: dense images encoded as Spark image structs (8-bit BGR)."""
+    """I8: images of all events as Spark image structs (8-bit BGR), with the digest of their bytes."""
     pf, ef = _image_inputs(spark, sf_dir)
-    img = IM.dense_images(IM.event_pixels(pf, ef, res=IMAGE_RES), res=IMAGE_RES)
-    enc = IM.encode_image(img)
+    enc = IM.image_structs(IM.event_runs(pf, ef), labels=ef.select("event_id", "label"))
     s = F.col("image_struct")
-    return enc.select("event_id", s["height"].alias("height"), s["width"].alias("width"),
-                      s["nChannels"].alias("n_channels"), F.length(s["data"]).alias("n_bytes"))
+    return enc.select("event_id", s["height"].alias("height"), s["width"].alias("width"), s["nChannels"].alias("n_channels"),
+                      F.length(s["data"]).alias("n_bytes"), F.sha2(s["data"], 256).alias("data_sha256"))
 
 
 @query("inclusive_predict")
