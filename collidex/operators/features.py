@@ -53,7 +53,7 @@ def _feature_rows(df: DataFrame) -> DataFrame:
 
 
 def particle_features_skew_safe(particles: DataFrame, events: DataFrame,
-                                cuts: Cuts = DEFAULT_CUTS, n_blocks: int = 64,
+                                cuts: Cuts = DEFAULT_CUTS, n_blocks: int | None = None,
                                 materialize: bool = True) -> DataFrame:
     """F1 without any window partitioned by event alone, for inputs where one
     event may hold a large share of all rows.

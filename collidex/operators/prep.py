@@ -86,7 +86,7 @@ def min_max(train: DataFrame, *others: DataFrame, features=EVENT_FEATURES) -> li
 
 
 def undersample(df: DataFrame, label: str = "label", key: str = "event_id",
-                n_blocks: int = 64) -> DataFrame:
+                n_blocks: int | None = None) -> DataFrame:
     """M5: keep, per class, the smallest class size of rows in mixed-key order.
 
     Exact counts; the rank comes from the blocked prefix sum, so no class
@@ -97,7 +97,7 @@ def undersample(df: DataFrame, label: str = "label", key: str = "event_id",
     return r.where(F.col("rank") <= m).drop("_mk", "rank")
 
 
-def fixed_subset(df: DataFrame, n: int, key: str = "event_id", n_blocks: int = 64) -> DataFrame:
+def fixed_subset(df: DataFrame, n: int, key: str = "event_id", n_blocks: int | None = None) -> DataFrame:
     """M5: exactly ``n`` rows (or all, if fewer) in mixed-key order - a
     reproducible fixed-size sample. The rank is the blocked exact rank, so no
     single task orders the whole table."""

@@ -181,6 +181,9 @@ SELECT c.class, c.threshold, c.tp, c.fp,
 FROM cur c JOIN tot t USING (class)""")
 
 
+ORACLE["roc_curve_binned"] = with_(_LONG, "SELECT class, CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg, true AS within_bound, true AS bounded FROM pts GROUP BY class")
+
+
 def _auc_sql(long_cte: str, keys: str) -> str:
     return long_cte + f""",
 ac AS (

@@ -18,6 +18,7 @@ from collidex.functions import kinematics as K
 from collidex.operators import features as FE
 from collidex.operators import selection as SE
 from collidex.sources import events as EV
+from collidex.session import written
 from collidex.sources.fixture import fixture, fixture_nested_events
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -323,6 +324,20 @@ def q_roc_curve(spark, sf_dir):
     return r.select("class", "threshold", "tp", "fp", K.r6("tpr").alias("tpr"), K.r6("fpr").alias("fpr"))
 
 
+@query("roc_curve_binned")
+def q_roc_curve_binned(spark, sf_dir, bins: int = 50):
+    """W7 with ``bins``: the bounded curve per class, and whether each of its points is within 1/bins of the exact curve."""
+    from collidex.operators.ordered import ordered_cumsum
+    long = written(_emb_long(spark, sf_dir), "scores")
+    binned = EVL.roc_curve(long, bins=bins)
+    exact = ordered_cumsum(EVL.roc_points(long), ["class"], "score", ["pos", "neg"], descending=True, inclusive=False).select(
+        "class", F.col("score").alias("threshold"), "cum_pos", "cum_neg")
+    off = F.greatest(F.abs(F.col("tpr") - F.col("cum_pos") / F.col("P")), F.abs(F.col("fpr") - F.col("cum_neg") / F.col("N")))
+    return binned.join(exact, ["class", "threshold"], "left").groupBy("class").agg(
+        F.first("P").alias("n_pos"), F.first("N").alias("n_neg"), F.bool_and(F.coalesce(off <= 1 / bins, F.lit(False))).alias("within_bound"),
+        (F.count(F.lit(1)) <= 2 * bins + 2).alias("bounded"))
+
+
 @query("auc")
 def q_auc(spark, sf_dir):
     """Trapezoidal AUC per class."""

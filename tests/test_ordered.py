@@ -73,3 +73,35 @@ def test_confusion_matrix_keeps_unlisted_classes(spark):
     df = spark.createDataFrame([(0, 0), (0, 1), (1, 7), (9, 1), (None, 0), (1, None)], "y_true int, y_pred int")
     got = {r["y_true"]: tuple(r)[1:] for r in EVL.confusion_matrix(df, [0, 1]).collect()}
     assert got == {0: (1, 1, 0), 1: (0, 0, 2), None: (1, 1, 0)}
+
+
+def test_group_of_most_rows_is_dealt_over_partitions(spark):
+    """Ranks are right and no partition of the written table holds more than a share of the group of 90 % of the rows."""
+    from pyspark.sql import Window
+    df = spark.range(20000).select(F.when(F.col("id") % 10 < 9, "hot").otherwise("x").alias("g"), (F.col("id") * 7919 % 20011).alias("k"))
+    got = ordered_rank(df, ["g"], "k", n_blocks=16)
+    want = df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy("k")).cast("long"))
+    assert got.exceptAll(want.select(got.columns)).count() == 0 and got.count() == 20000
+    scans = [p for p in got.inputFiles() if "ordered-" in p]
+    folder = os.path.dirname(scans[0])
+    sizes = [r["count"] for r in spark.read.parquet(folder).groupBy(F.shiftright("_at", 33).alias("part")).count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 3 * 20000 / 16
+
+
+def test_binned_curve_is_within_its_bound(spark):
+    df = spark.range(30000).select((F.col("id") % 3 == 0).cast("long").alias("is_pos"), F.lit(1).alias("class"),
+                                   (F.col("id") * 7919 % 30011 / 30011 + (F.col("id") % 3 == 0).cast("int") * 0.2).alias("score")).cache()
+    exact = {r.threshold: r for r in EVL.roc_curve(df).collect()}
+    order = sorted(exact, reverse=True)
+    for bins in (10, 100):
+        got = EVL.roc_curve(df, bins=bins).orderBy(F.desc("threshold")).collect()
+        assert bins <= len(got) <= 2 * bins + 2
+        for r in got:
+            i = order.index(r.threshold)          # the exact curve above the threshold is its point before
+            assert abs(exact[order[i - 1]].tpr - r.tpr) <= 1 / bins and abs(exact[order[i - 1]].fpr - r.fpr) <= 1 / bins
+        steps = list(zip(got, got[1:]))
+        assert all(0 <= b.tpr - a.tpr <= 2 / bins and 0 <= b.fpr - a.fpr <= 2 / bins for a, b in steps)
+    odd = spark.createDataFrame([(1, 0.5, 1), (1, None, 1), (1, float("nan"), 0), (2, 0.5, 0)], "class int, score double, is_pos long")
+    got = {(r["class"], r.threshold): (r.tpr, r.fpr, r.P, r.N) for r in EVL.roc_curve(odd, bins=5).collect()}
+    assert got == {(1, 0.5): (0.0, 0.0, 2, 1), (2, 0.5): (None, 0.0, 0, 1)}
+    assert EVL.roc_curve(odd.limit(0), bins=5).count() == 0
