@@ -53,6 +53,22 @@ def preselect(events: DataFrame, maps: DataFrame) -> DataFrame:
     return gated.join(flags, "event_id", "left_semi")
 
 
+def preselect_nested(events: DataFrame, cuts: Cuts = DEFAULT_CUTS) -> DataFrame:
+    """P6 + P7 and the momentum part of W1 inside the nested row, before anything is flattened.
+
+    Keeps events with a non-zero lepton counter, a particle for each of the three maps and a
+    lepton above ``lep_pt``. All others are rejected later anyway, so features stay the same,
+    but they are neither exploded nor shuffled nor isolated.
+    """
+    def some(col: str, field: str, least: float) -> Column:
+        return F.coalesce(F.exists(col, lambda p: F.coalesce(p[field] > least, F.lit(False))), F.lit(False))
+
+    return events.where(
+        ((F.col("Electron_size") > 0) | (F.col("MuonTight_size") > 0))
+        & some("EFlowTrack", "PT", cuts.track_pt) & some("EFlowPhoton", "ET", cuts.photon_et) & some("EFlowNeutralHadron", "ET", cuts.neutral_et)
+        & (some("Electron", "PT", cuts.lep_pt) | some("MuonTight", "PT", cuts.lep_pt)))
+
+
 def isolated_particles(particles: DataFrame, cuts: Cuts = DEFAULT_CUTS,
                        leptons_only: bool = False) -> DataFrame:
     """Map particles and lepton candidates with four-vectors and isolation.

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from collidex.config import DEFAULT_CUTS, Cuts
 from collidex.operators import features as FE
 from collidex.operators import images as IM
-from collidex.operators.selection import event_particles
+from collidex.operators.selection import event_particles, preselect_nested
 from collidex.session import build_session, scratch_path, size_shuffles
 from collidex.sources import events as EV
 
@@ -47,7 +47,8 @@ def events_to_features(spark: SparkSession, samples: dict[int, str], out: str,
     events = load_samples(spark, samples, own_ids)
     if stats_path:
         EV.write_sample_stats(events, stats_path)
-    parts, info = EV.explode_particles(events), EV.event_info(events)
+    kept = preselect_nested(events, cuts)
+    parts, info = EV.explode_particles(kept), EV.event_info(kept)
     ep_path = scratch_path(spark, f"event_particles-{uuid.uuid4().hex}")
     event_particles(parts, info, cuts).write.mode("overwrite").parquet(ep_path)
     ep = spark.read.parquet(ep_path)

@@ -383,3 +383,20 @@ ORACLE["sequence_scaled_skew_safe"] = ORACLE["sequence_scaled"]
 ORACLE["fixed_subset"] = with_(FIXTURE, f"""
 SELECT event_id, label FROM (SELECT event_id, label, row_number() OVER (ORDER BY {_MIX}) AS rk FROM fx_events)
 WHERE rk <= 500""")
+
+# -------------------------------------------------------- jobs and sinks ---
+ORACLE["shuffle"] = with_(FIXTURE, "SELECT event_id, label FROM fx_events")
+ORACLE["job_event_features"] = ORACLE["event_features"]
+ORACLE["job_particle_features"] = ORACLE["particle_features"]
+ORACLE["job_sequences"] = ORACLE["sequence_scaled"]
+ORACLE["events_preselected"] = with_(P, f"""
+SELECT event_id, label FROM pre
+WHERE event_id IN (SELECT event_id FROM fx_particles WHERE species IN ('electron', 'muon') AND pt > {d(DEFAULT_CUTS.lep_pt)})""")
+ORACLE["events_renamed"] = with_(FIXTURE, """
+SELECT event_id AS id, electron_size AS n_ele, muon_size AS n_mu,
+       (SELECT count(*) FROM fx_particles p WHERE p.event_id = e.event_id AND species = 'jet') AS n_jet FROM fx_events e""")
+ORACLE["prepared_round_trip"] = with_(P, "SELECT event_id, label, " + ", ".join(f"{r6(c)} AS f{i}" for i, c in enumerate(_EFC))
+                                      + ", " + ", ".join(f"CASE WHEN label = {k} THEN 1e0 ELSE 0e0 END AS oh_{k}" for k in range(3)) + " FROM ef")
+ORACLE["bucketed_join"] = with_(P, f"""
+SELECT ef.event_id, ef.label, {r6('ef.HT')} AS HT, count(*) AS n_particles, {r6('max(pf.Pt)')} AS max_pt
+FROM ef JOIN pf USING (event_id) GROUP BY ef.event_id, ef.label, ef.HT""")

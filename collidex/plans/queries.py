@@ -42,8 +42,8 @@ def rounded(df: DataFrame) -> DataFrame:
 @query("events_scan")
 def q_events_scan(spark, sf_dir):
     """Nested events scanned with the minimal schema, per-event sizes."""
-    ev = EV.select_required(fixture_nested_events(spark, sf_dir)).join(
-        fixture_nested_events(spark, sf_dir).select("event_id", "label"), "event_id")
+    nested = fixture_nested_events(spark, sf_dir)
+    ev = nested.select(*EV.select_required(nested).columns, "label")
     met = F.get(F.col("MissingET"), 0)
     return rounded(ev.select(
         "event_id", "label", "Electron_size", "MuonTight_size",
@@ -554,4 +554,4 @@ def q_fixed_subset(spark, sf_dir):
     return PR.fixed_subset(events.select("event_id", "label"), 500)
 
 
-from collidex.plans import model_queries  # noqa: E402,F401  (registers the training queries)
+from collidex.plans import job_queries, model_queries  # noqa: E402,F401  (register their queries)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collidex import schemas
@@ -53,29 +53,26 @@ def union_samples(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
 
-def explode_particles(events: DataFrame) -> DataFrame:
+def explode_particles(events: DataFrame, species: tuple[str, ...] = tuple(schemas.SPECIES_SOURCE)) -> DataFrame:
     """Nested events -> flat particle relation keyed by (event_id, species, pos).
 
-    ``pos`` is the array index, so array order (which is semantic) is kept.
-    Each species is a separate ``posexplode`` over one array column; the scans
-    read disjoint columns, so the input is read once in total. No shuffle.
+    ``pos`` is the array index, so array order (which is semantic) is kept. One
+    generator runs over the concatenated arrays of all ``species``, cast to one element
+    type, so events are scanned and parsed once; arrays of other species are not read.
+    A null array counts as empty. No shuffle.
     """
-    parts = []
-    for species, (col, mom) in schemas.SPECIES_SOURCE.items():
-        fields = {f.name for f in events.schema[col].dataType.elementType.fields}
-        x = events.select("event_id", F.posexplode(col).alias("pos", "p"))
+    names = [f for f in schemas.PARTICLE.fieldNames() if f not in ("event_id", "species", "pos")]
+    fields = {"eta": "Eta", "phi": "Phi", "x": "X", "y": "Y", "z": "Z", "pid": "PID", "charge": "Charge", "btag": "BTag"}
 
-        def get(name, typ, fields=fields, x=x):
-            return (F.col(f"p.{name}") if name in fields else F.lit(None)).cast(typ)
+    def array(sp: str) -> Column:
+        col, mom = schemas.SPECIES_SOURCE[sp]
+        there = {f.name for f in events.schema[col].dataType.elementType.fields}
+        source = {n: mom if n == "pt" else fields[n] for n in names}
+        return F.transform(F.coalesce(col, F.array().cast(events.schema[col].dataType)), lambda p, pos: F.struct(
+            F.lit(sp).alias("species"), pos.alias("pos"),
+            *[(p[source[n]] if source[n] in there else F.lit(None)).cast(schemas.PARTICLE[n].dataType).alias(n) for n in names]))
 
-        parts.append(x.select(
-            "event_id", F.lit(species).alias("species"), F.col("pos").cast("int").alias("pos"),
-            get(mom, "double").alias("pt"), get("Eta", "double").alias("eta"),
-            get("Phi", "double").alias("phi"), get("X", "double").alias("x"),
-            get("Y", "double").alias("y"), get("Z", "double").alias("z"),
-            get("PID", "int").alias("pid"), get("Charge", "int").alias("charge"),
-            get("BTag", "int").alias("btag")))
-    return union_samples(parts)
+    return events.select("event_id", F.explode(F.concat(*map(array, species))).alias("p")).select("event_id", "p.*")
 
 
 def event_info(events: DataFrame) -> DataFrame:
@@ -117,6 +114,21 @@ write_images = write_table
 write_sequences = write_table
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, key: str = "event_id") -> None:
+    """S3/S7 sink that keeps its layout: a table in ``buckets`` files hashed and sorted by ``key``.
+
+    Tables of equal ``buckets`` join and group on the key without an exchange. Rows are
+    hashed as the buckets are before they are written, so there is one file a bucket.
+    """
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+       .option("path", path).saveAsTable(name))
+
+
+def read_bucketed(spark: SparkSession, name: str, cols: list[str] | None = None) -> DataFrame:
+    """The table of :func:`write_bucketed`, with column projection; its bucketing is known to the planner."""
+    return spark.table(name).select(*cols) if cols else spark.table(name)
+
+
 def read_table(spark: SparkSession, path: str, cols: list[str] | None = None) -> DataFrame:
     """Scan a written table with column projection."""
     df = spark.read.parquet(path)
@@ -139,9 +151,8 @@ def read_scaling_log(spark: SparkSession, path: str) -> DataFrame:
 
 def scaling_curve(log: DataFrame) -> DataFrame:
     """Elapsed time by node count plus speed-up relative to the fewest nodes."""
-    # The log has one row per cluster size, so a single ordered window is fine.
-    t0 = F.first("elapsed_time").over(Window.orderBy("nodes"))
-    return (log.select("nodes", "elapsed_time", (t0 / F.col("elapsed_time")).alias("speedup"))
+    first = log.agg(F.min_by("elapsed_time", "nodes").alias("_t0"))                # one row
+    return (log.join(F.broadcast(first)).select("nodes", "elapsed_time", (F.col("_t0") / F.col("elapsed_time")).alias("speedup"))
             .orderBy("nodes"))
 
 

@@ -16,13 +16,14 @@ from pyspark.sql.streaming import StreamingQuery
 from collidex import schemas
 from collidex.config import DEFAULT_CUTS, Cuts
 from collidex.operators import features as FE
-from collidex.operators.selection import event_particles
+from collidex.operators.selection import event_particles, preselect_nested
 from collidex.session import scratch_path
 from collidex.sources import events as EV
 
 
 def feature_batch(batch: DataFrame, batch_id: int, out: str, cuts: Cuts) -> None:
-    parts, info = EV.explode_particles(batch), EV.event_info(batch)
+    kept = preselect_nested(batch, cuts)
+    parts, info = EV.explode_particles(kept), EV.event_info(kept)
     ep = event_particles(parts, info, cuts).persist()
     try:
         FE.event_features(parts, info, cuts, ep=ep).write.mode("overwrite").parquet(

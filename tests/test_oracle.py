@@ -7,8 +7,7 @@ import __spark_entry__ as E
 from tests.conftest import SF0001
 from tools.oracle_check import TABLES, compare
 
-FAST = [n for n in E.oracle_sql() if n not in ("image_pixels", "image_blend", "inclusive_features",
-                                                "min_max")]
+FAST = [n for n in E.oracle_sql() if n not in ("image_blend", "image_dense")]
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +31,7 @@ def test_entry(spark):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = {"shuffle", "rf_predict", "mlp_predict", "grid_search", "random_search", "inclusive_predict",
-                 "training_loss", "trained_auc", "trained_confusion", "image_dense", "image_struct"}
+    rows_only = {"rf_predict", "mlp_predict", "grid_search", "random_search", "inclusive_predict",
+                 "training_loss", "trained_auc", "trained_confusion"}
     missing = set(E.QUERIES) - set(E.ORACLE)
     assert missing == rows_only, missing

@@ -51,3 +51,24 @@ def test_pushdown_to_scan(spark):
     raw = fixture_particles(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint" in raw
     assert "l_shipdate" not in raw
+
+
+def test_flattening_reads_and_explodes_events_once(spark, scratch):
+    from collidex import schemas
+    from collidex.operators.selection import preselect_nested
+    from collidex.sources import events as EV
+    from collidex.sources.fixture import fixture_nested_events
+    path = f"{scratch}/events.parquet"
+    fixture_nested_events(spark, SF0001).write.parquet(path)
+    events = spark.read.schema(schemas.EVENT).parquet(path)
+    plan = EV.explode_particles(preselect_nested(events))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Generate explode") == 1 and "Exchange" not in plan
+    # the predicates on the nested row stand below the generator: rejected events are not exploded
+    assert plan.index("Generate explode") < plan.index("exists(EFlowTrack") < plan.index("FileScan")
+    jets = EV.explode_particles(events, ("jet",))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"ReadSchema: struct<event_id:bigint,Jet:", jets) and "EFlow" not in jets
+
+
+def test_bucketed_tables_join_without_an_exchange(spark):
+    plan = _plan(spark, "bucketed_join")
+    assert "Exchange" not in plan and "SortMergeJoin" in plan

@@ -9,10 +9,6 @@ def test_rows_only_queries(spark):
     q = E.queries()
     sh = q["shuffle"](spark, SF0001)
     assert sh.count() == 150 and sh.columns == ["event_id", "label"]
-    dense = q["image_dense"](spark, SF0001).collect()
-    assert len(dense) == 145 and {(r.n_eta, r.n_phi) for r in dense} == {(50, 31)}
-    st = q["image_struct"](spark, SF0001).collect()
-    assert len(st) == 145 and {r.n_bytes for r in st} == {50 * 31 * 3}
     rf = q["rf_predict"](spark, SF0001)
     rows = rf.collect()
     assert rows and set(rf.columns) >= {"vec_id", "label", "prediction", "probability"}
