@@ -139,15 +139,17 @@ def learnable(modulus: int, left_out: int):
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, learn=None, threshold: float = 0.7,
-                   max_train_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
+                   max_train_rows: int = MAX_TRAIN_ROWS, train_docs: DataFrame | None = None) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, score, predicted``.
 
+    It learns from the rows of ``train_docs`` (``docs`` if not given) that have a label.
+
     ``score`` is the probability of label 1. Null and empty texts are scored by their
     statistics; null ids and repeated rows each get a row; other columns are not read;
     an empty table gives an empty result. Without labels of both kinds every score is the
     share of label 1 (1 without any label). Labels given twice count as their larger one.
     """
-    sample = sample_of(docs, labels, "quality", learn or (lambda _: F.lit(True)), max_train_rows)
+    sample = sample_of(docs if train_docs is None else train_docs, labels, "quality", learn or (lambda _: F.lit(True)), max_train_rows)
     model = train(sample)
     if model is None:
         share = sample.agg(F.avg("y")).first()[0]
