@@ -54,8 +54,7 @@ def isolation(probes: DataFrame, cands: DataFrame, key_cols=("event_id", "specie
     dp = F.when(pp / F.lit(cell) - cp0 < 0.5, -1).otherwise(1)
     cells = F.array(*[F.struct((ce0 + a).alias("ce"), (cp0 + b).alias("cp"))
                       for a, b in ((0, 0), (de, 0), (0, dp), (de, dp))])
-    px = (probes.select(*keys, pe.alias("_pe"), pp.alias("_pp"), F.col(pt).alias("_ppt"),
-                        F.inline(cells)))
+    px = probes.select(*keys, pe.alias("_pe"), pp.alias("_pp"), F.inline(cells))
 
     # Candidate side: cell keys, plus shifted copies near the phi boundary so
     # a cone that wraps (per the chosen rule) can still reach them.
@@ -92,16 +91,11 @@ def isolation(probes: DataFrame, cands: DataFrame, key_cols=("event_id", "specie
         dphi = F.col("_cphi") - F.col("_k") * F.lit(period) - F.col("_pp")
     in_cone = valid & (dphi * dphi + deta * deta < F.lit(dr * dr))
 
-    pairs = (px.join(c, ["event_id", "ce", "cp"], "inner").where(in_cone)
-             .select(*keys, *[F.when(F.col("_cs") == s, F.col("_cpt")).alias(n)
-                              for s, n in MAP_SPECIES.items()],
-                     *[F.lit(None).alias(p) for p in payload]))
-    selfrows = probes.select(*keys, *[F.lit(None).cast("double").alias(n)
-                                      for n in MAP_SPECIES.values()], *payload)
-    pairs = pairs.select(*[F.col(f.name).cast(f.dataType) for f in selfrows.schema.fields])
-    agg = (selfrows.unionByName(pairs).groupBy(*keys)
-           .agg(*[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in MAP_SPECIES.values()],
-                *[F.max(p).alias(p) for p in payload]))
+    # Only keys and momenta travel with the pairs; their sums, combined before they are
+    # shuffled, meet the probes and their payload once.
+    pairs = px.join(c, ["event_id", "ce", "cp"], "inner").where(in_cone)
+    sums = pairs.groupBy(*keys).agg(*[F.sum(F.when(F.col("_cs") == s, F.col("_cpt"))).alias(n) for s, n in MAP_SPECIES.items()])
+    agg = probes.join(sums, keys, "left").select(*keys, *payload, *[F.coalesce(n, F.lit(0.0)).alias(n) for n in MAP_SPECIES.values()])
     ppt = F.col(pt)
     zero = ppt <= 0
     return agg.select(
