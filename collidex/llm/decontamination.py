@@ -64,12 +64,16 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: fl
                     .select("item_id", F.pow(F.lit(2), part).cast("int").alias("lower_size"),
                             F.explode(F.slice("hs", 1, (upper - F.ceil(upper * threshold - 1e-9) + 1).cast("int"))).alias("h")))
     sketch = saved(sketch, "sketch")
-    small = sketch.count() <= MAX_BROADCAST_ROWS
-    near = F.broadcast if small else lambda x: x
+
+    def near(t: DataFrame, rows: int) -> DataFrame:
+        """``t``, of at most ``rows`` rows, broadcast if these are few."""
+        return F.broadcast(t) if rows <= MAX_BROADCAST_ROWS else t
+
+    n_shingles = it.count()
 
     base = docs.filter("doc_id IS NOT NULL").select("doc_id", words(F.col("text")).alias("w"))
     probe = base.select("doc_id", F.size("w").alias("n"), F.explode(hashed_shingles("w", k)).alias("h"))
-    cand = (probe.join(near(sketch), "h")
+    cand = (probe.join(near(sketch, sketch.count()), "h")
                  .filter(F.greatest(F.col("n") - (k - 1), F.lit(1)) >= F.ceil(F.col("lower_size") * threshold - 1e-9))
                  .select("doc_id", "item_id").distinct())
     cand = saved(cand, "candidates")
@@ -77,10 +81,10 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: fl
     held = (only_ids(docs.select("doc_id", "text"), cand.select("doc_id"), "doc_id")
             .select("doc_id", words(F.col("text")).alias("w"))
             .select("doc_id", F.explode(F.array_distinct(text_shingles("w", k))).alias("shingle")))
-    shared = (held.join(near(it), "shingle")
+    shared = (held.join(near(it, n_shingles), "shingle")
                   .join(cand, ["doc_id", "item_id"], "left_semi").distinct()
                   .groupBy("doc_id", "item_id").agg(F.count("*").cast("int").alias("n_shared")))
-    return (shared.join(near(sizes), "item_id")
+    return (shared.join(near(sizes, n_shingles), "item_id")
                   .filter(F.col("n_shared") >= F.ceil(F.col("n_item") * threshold - 1e-9))
                   .select("doc_id", "item_id", "n_item", "n_shared",
                           (F.col("n_shared") / F.col("n_item")).alias("containment")))
