@@ -12,6 +12,10 @@ would find a 30-shingle item in a 20,000-shingle document only by luck. The
 partition's lower size rules out documents too short to contain its items.
 Candidates are verified by counting the exact text shingles they share.
 
+An item of fewer words has one shingle, the run of all its words, and is contained
+in every document that holds this run. Documents are cut into runs of a lower length
+only where an item has that many words.
+
 All steps are DataFrame functions; documents are never shuffled for the search.
 """
 
@@ -31,18 +35,22 @@ def words(text) -> F.Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _positions(w: str, k: int) -> F.Column:
-    # a text of under k words has one shingle, of all its words; one without words has none
-    return F.expr(f"CASE WHEN size({w}) = 0 THEN array() ELSE sequence(1, greatest(size({w}) - {k - 1}, 1)) END")
+def _starts(w: str, k: int) -> F.Column:
+    return F.expr(f"CASE WHEN size({w}) < {k} THEN array() ELSE sequence(1, size({w}) - {k - 1}) END").cast("array<int>")
+
 
+def hashed_runs(w: str, k: int) -> F.Column:
+    """Hashes of all runs of ``k`` words."""
+    return F.transform(_starts(w, k), lambda i: F.xxhash64(*[F.get(F.col(w), i + (j - 1)) for j in range(k)]))
 
-def hashed_shingles(w: str, k: int) -> F.Column:
-    return F.transform(_positions(w, k).cast("array<int>"),
-                       lambda i: F.xxhash64(*[F.get(F.col(w), i + (j - 1)) for j in range(k)]))
 
+def text_runs(w: str, k: int) -> F.Column:
+    return F.transform(_starts(w, k), lambda i: F.array_join(F.slice(F.col(w), i, k), " "))
 
-def text_shingles(w: str, k: int) -> F.Column:
-    return F.transform(_positions(w, k).cast("array<int>"), lambda i: F.array_join(F.slice(F.col(w), i, k), " "))
+
+def item_shingles(w: str, k: int) -> F.Column:
+    """All runs of ``k`` words, or the one run of all words where there are fewer."""
+    return F.when(F.size(w).between(1, k - 1), F.array(F.array_join(w, " "))).otherwise(text_runs(w, k))
 
 
 def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -50,11 +58,11 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: fl
 
     ``docs`` has doc_id and text, ``items`` item_id and text; other columns are not read.
     Null or empty texts have no shingles and are in no pair. An item under ``k`` words is
-    one shingle, found only in a document of just those words. Rows that repeat an id add
+    one shingle, found in every document that holds all its words in a row. Rows that repeat an id add
     their shingles together. Null ids match nothing. Empty tables give an empty result.
     """
     it = items.filter("item_id IS NOT NULL").select("item_id", words(F.col("text")).alias("w"))
-    it = saved(it.select("item_id", F.explode(F.array_distinct(text_shingles("w", k))).alias("shingle")).distinct(),
+    it = saved(it.select("item_id", F.explode(F.array_distinct(item_shingles("w", k))).alias("shingle")).distinct(),
                "items")
     sizes = it.groupBy("item_id").agg(F.count("*").cast("int").alias("n_item"))
     hashed = it.select("item_id", F.xxhash64(*[F.get(F.split("shingle", " "), F.lit(j)) for j in range(k)]).alias("h"))
@@ -70,9 +78,15 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: fl
         return F.broadcast(t) if rows <= MAX_BROADCAST_ROWS else t
 
     n_shingles = it.count()
+    lengths = sorted(r[0] for r in it.select(F.size(F.split("shingle", " "))).distinct().collect())     # k numbers at most
+    if not lengths:
+        lengths = [k]
+
+    def runs(make) -> F.Column:
+        return F.explode(make("w", lengths[0]) if len(lengths) == 1 else F.concat(*[make("w", n) for n in lengths]))
 
     base = docs.filter("doc_id IS NOT NULL").select("doc_id", words(F.col("text")).alias("w"))
-    probe = base.select("doc_id", F.size("w").alias("n"), F.explode(hashed_shingles("w", k)).alias("h"))
+    probe = base.select("doc_id", F.size("w").alias("n"), runs(hashed_runs).alias("h"))
     cand = (probe.join(near(sketch, sketch.count()), "h")
                  .filter(F.greatest(F.col("n") - (k - 1), F.lit(1)) >= F.ceil(F.col("lower_size") * threshold - 1e-9))
                  .select("doc_id", "item_id").distinct())
@@ -80,7 +94,7 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: fl
 
     held = (only_ids(docs.select("doc_id", "text"), cand.select("doc_id"), "doc_id")
             .select("doc_id", words(F.col("text")).alias("w"))
-            .select("doc_id", F.explode(F.array_distinct(text_shingles("w", k))).alias("shingle")))
+            .select("doc_id", runs(lambda w, n: F.array_distinct(text_runs(w, n))).alias("shingle")))
     shared = (held.join(near(it, n_shingles), "shingle")
                   .join(cand, ["doc_id", "item_id"], "left_semi").distinct()
                   .groupBy("doc_id", "item_id").agg(F.count("*").cast("int").alias("n_shared")))
@@ -94,16 +108,20 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-def _sql_shingles(name: str, key: str) -> str:
+def _sql_words(name: str, key: str) -> str:
     return f"""
 {name}_w AS (SELECT {key}, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'),
-                                      lambda x: x <> '') AS w FROM {name} WHERE {key} IS NOT NULL),
-{name}_s AS (SELECT DISTINCT {key}, array_to_string(w[i:i + 4], ' ') AS shingle
-             FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM {name}_w WHERE len(w) > 0))"""
+                                      lambda x: x <> '') AS w FROM {name} WHERE {key} IS NOT NULL)"""
 
 
 SQL = f"""
-WITH {_sql_shingles('documents', 'doc_id')}, {_sql_shingles('benchmark', 'item_id')},
+WITH {_sql_words('documents', 'doc_id')}, {_sql_words('benchmark', 'item_id')},
+lengths AS (SELECT DISTINCT least(len(w), 5) AS k FROM benchmark_w WHERE len(w) > 0),
+documents_s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS shingle
+                FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM documents_w JOIN lengths ON len(w) >= k)),
+benchmark_s AS (SELECT DISTINCT item_id, array_to_string(w[i:i + k - 1], ' ') AS shingle
+                FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                      FROM (SELECT *, least(len(w), 5) AS k FROM benchmark_w WHERE len(w) > 0))),
 q AS (SELECT item_id, count(*)::INT AS n_item FROM benchmark_s GROUP BY 1)
 SELECT doc_id, item_id, any_value(n_item) AS n_item, count(*)::INT AS n_shared, count(*) / any_value(n_item) AS containment
 FROM documents_s JOIN benchmark_s USING (shingle) JOIN q USING (item_id)

@@ -122,6 +122,25 @@ def test_decontamination(spark, odd, none):
     assert rows(contained_items(none, items)) == [] and rows(contained_items(docs, items.limit(0))) == []
 
 
+def test_short_items_inside_long_documents(spark):
+    from collidex.llm import decontamination as D
+    rng = random.Random(4)
+    word = [*"abcdefg", "Ünal", "x1"]
+    texts = [" ".join(rng.choices(word, k=n)) for n in (0, 1, 2, 3, 4, 5, 9, 40, 40, 200, 200)]
+    texts += [" ".join(f"v{i}" for i in range(500)) + " the Four-Word ITEM, here " + "z " * 500, None]
+    items = ["four word item here", "word item there", "a", "A, b", "c d e", "Ünal x1 a b", "a b c d e f", "", None, "here z z z z"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(i, t, "w") for i, t in enumerate(items)], "item_id long, text string, shingle string")
+    got = sorted(rows(D.contained_items(docs, items)))
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    con.register("benchmark", items.toPandas())
+    assert got == sorted(con.execute(D.SQL).fetchall()) and {(11, 0), (11, 9)} <= {r[:2] for r in got}
+    plain = {(d, i) for d, t in enumerate(texts) for i, q in enumerate(["four word item here", "word item there", "a", "a b", "c d e", "ünal x1 a b"])
+             if f" {q} " in f" {' '.join(re.split(r'[^a-z0-9ü]+', (t or '').lower()))} "}
+    assert {r[:2] for r in got if r[1] < 6} == plain
+
+
 def test_packing(odd, none):
     import zlib
 
