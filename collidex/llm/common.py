@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +14,30 @@ from collidex.session import scratch_path
 MAX_BROADCAST_IDS = 1_000_000
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+def _path(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
+
+
+def saved(df: DataFrame, name: str, *parts: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder, by the columns ``parts``, and read it back.
 
     Cuts the lineage: a lost executor costs a re-read of the table, not a recomputation.
     """
-    path = scratch_path(df.sparkSession, f"llm-{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    path = _path(df.sparkSession, name)
+    df.write.partitionBy(*parts).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def saved_parts(dfs: Iterable, make: Callable[..., DataFrame], name: str) -> DataFrame:
+    """``make`` of each of ``dfs``, run and written one after the other, and all read as one table."""
+    path = None
+    for i, x in enumerate(dfs):
+        df = make(x)
+        path = path or _path(df.sparkSession, name)
+        df.write.parquet(f"{path}/_part={i}")
+    return df.sparkSession.read.schema(df.schema).parquet(path).drop("_part")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -78,11 +78,27 @@ def test_exact_dedup(odd, none):
     assert rows(exact_dedup(none)) == []
 
 
-def test_exact_dedup_with_a_full_filter(spark):
-    from collidex.llm.exact_dedup import BLOCK_BITS, exact_dedup
-    docs = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2500).cast("string").alias("text"))
-    a, b = (sorted(rows(exact_dedup(docs, max_bits=m))) for m in (BLOCK_BITS, 1 << 28))
-    assert a == b and sum(r[3] for r in a) == 2500
+def test_exact_dedup_of_more_rows_than_one_filter_serves(spark, monkeypatch):
+    from collidex.llm import exact_dedup as D
+    docs = spark.range(300_000).select(F.col("id").alias("doc_id"), F.greatest(F.col("id"), F.lit(20_000)).cast("string").alias("text"))
+    seen, plain = [], D._maybe
+    monkeypatch.setattr(D, "_maybe", lambda part, blocks: seen.append((part, blocks)) or plain(part, blocks))
+    a, b = (D.exact_dedup(docs, max_bits=m) for m in (1 << 20, 1 << 28))
+    assert sorted(rows(a)) == sorted(rows(b)) and a.filter("kept").count() == 280_000 and a.filter("group_size = 20001").count() == 20_001
+    assert len(seen) == 4 + 1 and all(n * D.BLOCK_BITS <= 1 << 20 for _, n in seen[:4])
+    # each filter still sends nearly all single rows past the shuffle (without ranges it would be 3.5 times overfull)
+    through = [plain(part, n).filter("maybe").count() for part, n in seen]
+    assert sum(through[:4]) <= 20_001 + 0.05 * 280_000 and through[4] <= 20_001 + 0.05 * 280_000
+
+
+def test_heavy_groups_are_broadcast_within_a_bound(spark, monkeypatch):
+    from collidex.llm import exact_dedup as D
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 500).cast("string")).alias("text"))
+    want = sorted(rows(D.exact_dedup(docs)))
+    monkeypatch.setattr(D, "HEAVY_GROUP", 3)
+    got = D.exact_dedup(docs)
+    assert sorted(rows(got)) == want and sum(r[3] for r in want) == 501
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_url_rules_and_templates(spark):
