@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,14 +27,21 @@ def saved(df: DataFrame, name: str, *parts: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def saved_parts(dfs: Iterable, make: Callable[..., DataFrame], name: str) -> DataFrame:
-    """``make`` of each of ``dfs``, run and written one after the other, and all read as one table."""
-    path = None
-    for i, x in enumerate(dfs):
-        df = make(x)
-        path = path or _path(df.sparkSession, name)
-        df.write.parquet(f"{path}/_part={i}")
-    return df.sparkSession.read.schema(df.schema).parquet(path).drop("_part")
+class Parts:
+    """A table written part by part, of one schema, under the shared checkpoint folder."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.schema, self.n = spark, _path(spark, name), None, 0
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Write one part now and read it back."""
+        path = f"{self.path}/_part={self.n}"
+        df.write.parquet(path)
+        self.schema, self.n = df.schema, self.n + 1
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def all(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path).drop("_part")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collidex.llm.common import saved, saved_parts, table
+from collidex.llm.common import Parts, saved, table
 
 #: One block is one bitmap of Spark's bitmap functions.
 BLOCK_BITS = 32768
@@ -56,9 +56,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     blocks = max(1, math.ceil(n * bits_per_row / BLOCK_BITS))
     ranges = math.ceil(blocks * BLOCK_BITS / max_bits)
     blocks = math.ceil(blocks / ranges)
-    maybe_ids = saved_parts(_ranges(rows, ranges), lambda part: _maybe(part, blocks), "maybe")
+    tested = Parts(docs.sparkSession, "maybe")
+    for part in _ranges(rows, ranges):
+        tested.add(_maybe(part, blocks))
 
-    maybe = maybe_ids.filter("maybe").drop("maybe")
+    maybe = tested.all().filter("maybe").drop("maybe")
     groups = saved(maybe.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
     heavy = F.col("group_size") >= max(HEAVY_GROUP, n // MAX_HEAVY)
     # The few heavy groups meet their rows by a broadcast, so that no task gets a whole one.
@@ -66,7 +68,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeated = (maybe.join(large, "text_sha256")
                      .unionByName(maybe.join(large, "text_sha256", "left_anti").join(groups.filter(~heavy), "text_sha256")))
     repeated = repeated.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
-    single = maybe_ids.filter("NOT maybe").select(
+    single = tested.all().filter("NOT maybe").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256")
     return single.unionByName(repeated)

@@ -10,6 +10,9 @@ pages. Templates above ``reject`` are blocked. Branches without a labelled page
 not merged with labelled ones: nothing is known about their likeness. More than
 ``max_children`` of them are one ``?``, which changes names of templates, no verdict.
 
+The tree is a radix tree: a chain of segments without a branch is passed in one round,
+so rounds follow branchings and not the depth of paths.
+
 Pages are first counted by host and path shape, so a host with a third of all pages
 is a handful of rows in every later step.
 """
@@ -19,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collidex.llm.common import saved, table
+from collidex.llm.common import Parts, saved, table
 
 #: (verdict, host/path)
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -52,12 +55,52 @@ def _purity(blocked, labelled, prior, weight: float) -> F.Column:
     return (F.coalesce(blocked, F.lit(0)) + weight * prior) / (F.coalesce(labelled, F.lit(0)) + weight)
 
 
+def _common(a, b) -> F.Column:
+    """Number of segments that two arrays share at their start."""
+    n = F.least(F.size(a), F.size(b))
+    first = F.array_position(F.zip_with(F.slice(a, 1, n), F.slice(b, 1, n), lambda x, y: x == y), False).cast("int")
+    return F.when(first > 0, first - 1).otherwise(n)
+
+
+def _templates(live: DataFrame, max_children: int, z: float) -> DataFrame:
+    """``live`` with the template of each path; on the way, ``seg`` holds the segments still to be placed."""
+    columns, rounds, more = live.columns, Parts(live.sparkSession, "url-tree"), True
+    while more:
+        # All paths of a branch follow its last one up to the first fork; those that end before it are done.
+        spine = live.groupBy("host", "template").agg(F.max("seg").alias("spine"))
+        near = live.join(spine, ["host", "template"]).withColumn("along", _common(F.col("seg"), F.col("spine")))
+        near = saved(near.withColumn("forks", F.col("along") < F.size("seg")), "url-spine")
+        fork = near.filter("forks").groupBy("host", "template").agg(F.min("along").alias("fork"))
+        near = near.join(fork, ["host", "template"], "left")
+        ended = F.col("fork").isNull() | (F.size("seg") <= F.col("fork"))
+        done = near.filter(ended).withColumn("template", F.concat("template", F.lit("/"), F.array_join("seg", "/")))
+        s = F.get("seg", F.col("fork"))
+        rest = near.filter(~ended).withColumn("s", s)
+        child = rest.groupBy("host", "template", "s").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.count("*").alias("leaves"))
+        kin = child.groupBy("host", "template").agg(F.count("*").alias("children"), F.count_if(F.col("l") == 0).alias("unlabelled"),
+                                                    F.sum("l").alias("kl"), F.sum("b").alias("kb"))
+        share = F.col("kb") / F.greatest("kl", F.lit(1))
+        spread = F.sqrt(share * (1 - share) / F.greatest("l", F.lit(1)))
+        alike = F.abs(F.col("b") / F.greatest("l", F.lit(1)) - share) <= z * spread + 1e-9
+        branch = (child.join(kin, ["host", "template"])
+                       .select("host", "template", "s", F.when((F.col("l") > 0) & (F.col("children") > 1) & alike, "*")
+                               .when((F.col("l") == 0) & (F.col("unlabelled") > max_children), "?").otherwise(F.col("s")).alias("branch")))
+        passed = F.concat(F.slice("seg", F.lit(1), F.col("fork")), F.array("branch"))
+        step = (rest.join(branch, ["host", "template", "s"])
+                    .withColumn("template", F.concat("template", F.lit("/"), F.array_join(passed, "/")))
+                    .withColumn("seg", F.slice("seg", F.col("fork") + 2, F.size("seg"))))
+        step = done.withColumn("seg", F.slice("seg", 1, 0)).select(*columns).unionByName(step.select(*columns))
+        live = rounds.add(step).filter("size(seg) > 0")
+        more = not live.isEmpty()
+    return rounds.all().filter("size(seg) = 0")
+
+
 def url_filter(pages: DataFrame, rules=RULES, max_children: int = 20, z: float = 2.0,
                weight: float = 4.0, reject: float = 0.9) -> DataFrame:
     """One row per row of ``pages``: ``page_id, host, path, rule, verdict, template, purity``.
 
     The longest fitting rule decides; where none fits, ``rule`` is null and the template
-    decides. Each level of the tree is one round, over the paths that still share their
+    decides. Each branching of the tree is one round, over the paths that still share their
     template with others. Null urls have empty host and path, no template evidence, and are allowed.
     Null ids and repeated rows each give a row, other columns are not read, and without
     any page or any labelled page all is allowed that no rule blocks.
@@ -71,25 +114,7 @@ def url_filter(pages: DataFrame, rules=RULES, max_children: int = 20, z: float =
     leaf = p.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("ruled").alias("labelled"),
                                           F.sum(F.when(F.col("ruled") == "block", 1).otherwise(0)).alias("blocked"))
     live = saved(leaf.withColumn("seg", F.split("shape", "/")).withColumn("template", F.lit("")), "url-leaves")
-    columns, tree, level = live.columns, live.limit(0), 0
-    while not live.isEmpty():
-        s = F.get("seg", F.lit(level))
-        child = live.groupBy("host", "template", s.alias("s")).agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.count("*").alias("leaves"))
-        kin = child.groupBy("host", "template").agg(F.count("*").alias("children"), F.count_if(F.col("l") == 0).alias("unlabelled"), F.sum("l").alias("kl"),
-                                                    F.sum("b").alias("kb"), (F.sum("leaves") == 1).alias("alone"))
-        share = F.col("kb") / F.greatest("kl", F.lit(1))
-        spread = F.sqrt(share * (1 - share) / F.greatest("l", F.lit(1)))
-        alike = F.abs(F.col("b") / F.greatest("l", F.lit(1)) - share) <= z * spread + 1e-9
-        branch = (child.join(kin, ["host", "template"])
-                       .select("host", "template", "s", "alone", F.when((F.col("l") > 0) & (F.col("children") > 1) & alike, "*")
-                               .when((F.col("l") == 0) & (F.col("unlabelled") > max_children), "?").otherwise(F.col("s")).alias("branch")))
-        rest = F.when(F.col("alone"), F.slice("seg", level + 2, F.size("seg"))).otherwise(F.array())     # a path alone keeps its segments
-        step = (live.withColumn("s", s).join(branch, ["host", "template", "s"])
-                    .withColumn("template", F.concat("template", F.lit("/"), F.array_join(F.concat(F.array("branch"), rest), "/")))
-                    .withColumn("ended", F.col("alone") | (F.size("seg") == level + 1)).select(*columns, "ended"))
-        step = saved(step, "url-tree")
-        tree, live, level = tree.unionByName(step.filter("ended").select(*columns)), step.filter("NOT ended").select(*columns), level + 1
-    tree = saved(tree, "url-tree")
+    tree = _templates(live, max_children, z)
     domain = F.substring_index("host", ".", -2)
     l0, b0 = tree.agg(F.sum("labelled"), F.sum("blocked")).first()       # two numbers
     tree = tree.withColumn("domain", domain)
