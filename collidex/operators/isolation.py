@@ -30,43 +30,17 @@ def _cells(eta, phi, cell):
     return F.floor(eta / F.lit(cell)), F.floor(phi / F.lit(cell))
 
 
-def isolation(probes: DataFrame, cands: DataFrame, key_cols=("event_id", "species", "pos"),
-              dr: float = 0.3, wrap: str = "legacy", pi_approx: float = PI_APPROX,
-              eta: str = "p_eta", phi: str = "p_phi", pt: str = "p_pt") -> DataFrame:
-    """Add ``iso_ch``, ``iso_gamma``, ``iso_neu`` to every probe row.
-
-    ``probes`` carries ``key_cols`` (unique), the probe kinematics ``eta``,
-    ``phi`` (in [-pi, pi], e.g. from atan2) and ``pt``, plus any payload.
-    ``cands`` carries event_id, species (track/neutral/photon), eta, phi, pt.
-    ``wrap='legacy'`` wraps dphi only beyond 2*pi_approx; ``'periodic'`` wraps
-    into [-pi, pi).
-    """
-    if wrap not in ("legacy", "periodic"):
-        raise ValueError(f"wrap must be 'legacy' or 'periodic', got {wrap!r}")
-    cell = 2.0 * dr * (1.0 + 1e-9)
-    keys = list(key_cols)
-    payload = [c for c in probes.columns if c not in keys]
-
-    # Probe side: own cell plus the nearer neighbour in eta and in phi.
-    pe, pp = F.col(eta), F.col(phi)
-    ce0, cp0 = _cells(pe, pp, cell)
-    de = F.when(pe / F.lit(cell) - ce0 < 0.5, -1).otherwise(1)
-    dp = F.when(pp / F.lit(cell) - cp0 < 0.5, -1).otherwise(1)
-    cells = F.array(*[F.struct((ce0 + a).alias("ce"), (cp0 + b).alias("cp"))
-                      for a, b in ((0, 0), (de, 0), (0, dp), (de, dp))])
-    px = probes.select(*keys, pe.alias("_pe"), pp.alias("_pp"), F.inline(cells))
-
+def candidate_copies(cands: DataFrame, cell: float, wrap: str, period: float) -> DataFrame:
+    """Candidates with their cell, and copies shifted by a period where a cone may wrap."""
     # Candidate side: cell keys, plus shifted copies near the phi boundary so
     # a cone that wraps (per the chosen rule) can still reach them.
     c = cands.select("event_id", F.col("species").alias("_cs"), F.col("eta").alias("_ce"),
                      F.col("phi").alias("_cphi"), F.col("pt").alias("_cpt"))
     if wrap == "legacy":
-        period = 2.0 * pi_approx
         shifts = F.array(F.lit(0),
                          F.when(F.col("_cphi") > period - math.pi, F.lit(1)),
                          F.when(F.col("_cphi") < math.pi - period, F.lit(-1)))
     else:
-        period = 2.0 * math.pi
         c = c.withColumn("_cphi", F.col("_cphi") - F.lit(period) * F.floor(
             (F.col("_cphi") + F.lit(math.pi)) / F.lit(period)))
         shifts = F.array(F.lit(0),
@@ -75,8 +49,11 @@ def isolation(probes: DataFrame, cands: DataFrame, key_cols=("event_id", "specie
     c = (c.withColumn("_k", F.explode(F.filter(shifts, lambda v: v.isNotNull())))
          .withColumn("_kphi", F.col("_cphi") - F.col("_k") * F.lit(period)))
     cce, ccp = _cells(F.col("_ce"), F.col("_kphi"), cell)
-    c = c.select("event_id", "_cs", "_ce", "_cphi", "_cpt", "_k", cce.alias("ce"), ccp.alias("cp"))
+    return c.select("event_id", "_cs", "_ce", "_cphi", "_kphi", "_cpt", "_k", cce.alias("ce"), ccp.alias("cp"))
 
+
+def cone_residual(dr: float, wrap: str, period: float) -> F.Column:
+    """Whether a candidate lies in the cone of a probe."""
     # Exact cone residual, written as the original difference-then-wrap.
     deta = F.col("_ce") - F.col("_pe")
     raw = F.col("_cphi") - F.col("_pp")
@@ -89,12 +66,12 @@ def isolation(probes: DataFrame, cands: DataFrame, key_cols=("event_id", "specie
     else:
         valid = F.lit(True)
         dphi = F.col("_cphi") - F.col("_k") * F.lit(period) - F.col("_pp")
-    in_cone = valid & (dphi * dphi + deta * deta < F.lit(dr * dr))
+    return valid & (dphi * dphi + deta * deta < F.lit(dr * dr))
 
-    # Only keys and momenta travel with the pairs; their sums, combined before they are
-    # shuffled, meet the probes and their payload once.
-    pairs = px.join(c, ["event_id", "ce", "cp"], "inner").where(in_cone)
-    sums = pairs.groupBy(*keys).agg(*[F.sum(F.when(F.col("_cs") == s, F.col("_cpt"))).alias(n) for s, n in MAP_SPECIES.items()])
+
+def _by_momentum(probes: DataFrame, sums: DataFrame, keys: list[str], pt: str) -> DataFrame:
+    """The sums of each probe, joined once and divided by its momentum."""
+    payload = [c for c in probes.columns if c not in keys]
     agg = probes.join(sums, keys, "left").select(*keys, *payload, *[F.coalesce(n, F.lit(0.0)).alias(n) for n in MAP_SPECIES.values()])
     ppt = F.col(pt)
     zero = ppt <= 0
@@ -105,6 +82,45 @@ def isolation(probes: DataFrame, cands: DataFrame, key_cols=("event_id", "specie
         F.when(zero, F.lit(0.0)).otherwise(F.col("s_neu") / ppt).alias("iso_neu"))
 
 
+def probe_cells(probes: DataFrame, keys: list[str], cell: float, eta: str, phi: str) -> DataFrame:
+    """Each probe in its own cell and the nearer neighbours in eta and in phi."""
+    pe, pp = F.col(eta), F.col(phi)
+    ce0, cp0 = _cells(pe, pp, cell)
+    de = F.when(pe / F.lit(cell) - ce0 < 0.5, -1).otherwise(1)
+    dp = F.when(pp / F.lit(cell) - cp0 < 0.5, -1).otherwise(1)
+    cells = F.array(*[F.struct((ce0 + a).alias("ce"), (cp0 + b).alias("cp"))
+                      for a, b in ((0, 0), (de, 0), (0, dp), (de, dp))])
+    return probes.select(*keys, pe.alias("_pe"), pp.alias("_pp"), F.inline(cells))
+
+
+def isolation(probes: DataFrame, cands: DataFrame, key_cols=("event_id", "species", "pos"),
+              dr: float = 0.3, wrap: str = "legacy", pi_approx: float = PI_APPROX,
+              eta: str = "p_eta", phi: str = "p_phi", pt: str = "p_pt") -> DataFrame:
+    """Add ``iso_ch``, ``iso_gamma``, ``iso_neu`` to every probe row.
+
+    ``probes`` carries ``key_cols`` (unique), the probe kinematics ``eta``,
+    ``phi`` (in [-pi, pi], e.g. from atan2) and ``pt``, plus any payload.
+    ``cands`` carries event_id, species (track/neutral/photon), eta, phi, pt.
+    ``wrap='legacy'`` wraps dphi only beyond 2*pi_approx; ``'periodic'`` wraps
+    into [-pi, pi).
+    """
+    if wrap not in ("legacy", "periodic"):
+        raise ValueError(f"wrap must be 'legacy' or 'periodic', got {wrap!r}")
+    cell = 2.0 * dr * (1.0 + 1e-9)
+    keys = list(key_cols)
+
+    px = probe_cells(probes, keys, cell, eta, phi)
+    period = 2.0 * (pi_approx if wrap == "legacy" else math.pi)
+    c = candidate_copies(cands, cell, wrap, period).drop("_kphi")
+    in_cone = cone_residual(dr, wrap, period)
+
+    # Only keys and momenta travel with the pairs; their sums, combined before they are
+    # shuffled, meet the probes and their payload once.
+    pairs = px.join(c, ["event_id", "ce", "cp"], "inner").where(in_cone)
+    sums = pairs.groupBy(*keys).agg(*[F.sum(F.when(F.col("_cs") == s, F.col("_cpt"))).alias(n) for s, n in MAP_SPECIES.items()])
+    return _by_momentum(probes, sums, keys, pt)
+
+
 def isolation_sums(probes: DataFrame, cands: DataFrame, **kw) -> DataFrame:
     """Isolation of the probes reduced to (key, iso_ch, iso_gamma, iso_neu)."""
     keys = list(kw.get("key_cols", ("event_id", "species", "pos")))
