@@ -70,19 +70,19 @@ def preselect_nested(events: DataFrame, cuts: Cuts = DEFAULT_CUTS) -> DataFrame:
 
 
 def isolated_particles(particles: DataFrame, cuts: Cuts = DEFAULT_CUTS,
-                       leptons_only: bool = False) -> DataFrame:
+                       leptons_only: bool = False, isolate=isolation) -> DataFrame:
     """Map particles and lepton candidates with four-vectors and isolation.
 
     One grid join covers every probe the pipeline needs (leptons, tracks,
     photons, neutrals), so the candidate maps are shuffled once. With
     ``leptons_only`` only lepton candidates are probes (enough for event
-    features).
+    features). ``isolate`` is ``isolation`` or ``isolation_dense``.
     """
     maps = candidate_maps(particles, cuts)
     sp, pt = F.col("species"), F.col("pt")
     lep = sp.isin("electron", "muon") & (pt > cuts.lep_pt)
     probes = with_kinematics(particles.where(lep if leptons_only else (map_condition(cuts) | lep)))
-    return isolation(probes, maps, dr=cuts.dr, wrap=cuts.wrap, pi_approx=cuts.pi_approx)
+    return isolate(probes, maps, dr=cuts.dr, wrap=cuts.wrap, pi_approx=cuts.pi_approx)
 
 
 def choose_lepton(iso_leptons: DataFrame, cuts: Cuts = DEFAULT_CUTS) -> DataFrame:

@@ -75,6 +75,8 @@ ORACLE["isolation"] = with_(P, f"""
 SELECT event_id, species, pos, {r6('iso_ch')} AS iso_ch, {r6('iso_gamma')} AS iso_gamma,
        {r6('iso_neu')} AS iso_neu FROM iso""")
 
+ORACLE["isolation_dense"] = ORACLE["isolation"]
+
 ORACLE["lepton_first"] = with_(P, "SELECT event_id, species, pos FROM lep_first")
 
 ORACLE["lepton_select"] = with_(P, f"""

@@ -8,6 +8,7 @@ fixture or directly) and covers them whole. Double outputs are rounded with
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from collidex.config import DEFAULT_CUTS, TIGHT_CUTS, Cuts
 from collidex.functions import kinematics as K
 from collidex.operators import features as FE
 from collidex.operators import selection as SE
+from collidex.operators.dense_isolation import isolation_dense
 from collidex.sources import events as EV
 from collidex.session import written
 from collidex.sources.fixture import fixture, fixture_nested_events
@@ -135,6 +137,14 @@ def q_isolation(spark, sf_dir):
         "event_id", "species", "pos", "iso_ch", "iso_gamma", "iso_neu"))
 
 
+@query("isolation_dense")
+def q_isolation_dense(spark, sf_dir):
+    """J1 over adaptive cells; the low limit splits cells of the fixture's sparse events too."""
+    parts, _ = fixture(spark, sf_dir)
+    iso = SE.isolated_particles(parts, isolate=partial(isolation_dense, limit=4, max_depth=6))
+    return rounded(iso.select("event_id", "species", "pos", "iso_ch", "iso_gamma", "iso_neu"))
+
+
 @query("lepton_first")
 def q_lepton_first(spark, sf_dir):
     """First isolated electron and first isolated muon per event."""
