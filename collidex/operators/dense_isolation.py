@@ -45,7 +45,7 @@ def _reach(dr: float, wrap: str) -> tuple[F.Column, F.Column]:
 def isolation_dense(probes: DataFrame, cands: DataFrame, key_cols=("event_id", "species", "pos"),
                     dr: float = 0.3, wrap: str = "legacy", pi_approx: float = PI_APPROX,
                     eta: str = "p_eta", phi: str = "p_phi", pt: str = "p_pt",
-                    limit: int = 256, max_depth: int = 12) -> DataFrame:
+                    limit: int = 256, max_depth: int = 12, derive=None) -> DataFrame:
     """Same arguments and result as ``isolation``, for events whose particles may crowd in a cell.
 
     Sums of nodes are added in another order, so results agree to rounding. Candidates
@@ -56,13 +56,13 @@ def isolation_dense(probes: DataFrame, cands: DataFrame, key_cols=("event_id", "
     cell, keys = 2.0 * dr * (1.0 + 1e-9), list(key_cols)
     period = 2.0 * (pi_approx if wrap == "legacy" else math.pi)
     cands = cands.where("NOT isnan(eta) AND NOT isnan(phi)")
-    live, front, found = written(candidate_copies(cands, cell, wrap, period), "dense-cands"), probe_cells(probes, keys, cell, eta, phi), []
+    live, front, found = written(candidate_copies(cands, cell, wrap, period), "dense-cands"), probe_cells(derive(probes) if derive else probes, keys, cell, eta, phi), []
     node = ["event_id", "_k", "ce", "cp"]
     sums = [F.sum(F.when(F.col("_cs") == s, F.col("_cpt"))).alias(n) for s, n in MAP_SPECIES.items()]
     outside, inside = _reach(dr, wrap)
     for depth in range(max_depth + 1):
         on = node if depth else [c for c in node if c != "_k"]      # probes meet every copy at first
-        front = written(front, "dense-probes")
+        front = written(front, "dense-probes") if depth else front      # the first cells are four small rows by arithmetic
         hot = live.groupBy(*node).agg(F.count("*").alias("_n"), F.min("_ce").alias("e0"), F.max("_ce").alias("e1"),
                                       F.min("_kphi").alias("p0"), F.max("_kphi").alias("p1"), *sums).where(F.col("_n") > limit)
         hot = written(hot if depth < max_depth else hot.limit(0), "dense-nodes")
@@ -79,4 +79,4 @@ def isolation_dense(probes: DataFrame, cands: DataFrame, key_cols=("event_id", "
         ce, cp = _cells(F.col("_ce"), F.col("_kphi"), cell / 2 ** (depth + 1))
         live = written(live.join(hot.select(*node), node, "left_semi").withColumns({"ce": ce, "cp": cp}), "dense-cands")
     total = reduce(DataFrame.unionByName, found).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in MAP_SPECIES.values()])
-    return _by_momentum(probes, total, keys, pt)
+    return _by_momentum(probes.join(total, keys, "left"), keys, pt, derive)

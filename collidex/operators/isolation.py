@@ -5,12 +5,13 @@ summed per map (charged tracks, neutral hadrons, photons) and divided by
 the probe pT; the charged sum subtracts 1. A probe counts itself when it is
 in a map.
 
-Plan: candidates are keyed by (event_id, eta cell, phi cell) with cell size
-just over 2*dr, so a cone touches at most a 2x2 block of cells; each probe
-is sent to exactly those 4 keys. The equi join on (event_id, cell) plus the
-exact cone residual only ever compares nearby particles - never all pairs of
-an event - and spreads one huge event over many join keys. Partial sums are
-combined by a hash aggregate on the probe key.
+Plan: probes and candidates are dealt by event, and each probe is compared with the
+candidates of its event; sums, and whatever the caller does per event, stay in that
+partitioning, so rows are shuffled once. Events of more than ``CROWDED`` rows are known
+beforehand and keyed by (event_id, eta cell, phi cell) instead, with cell size just over
+2*dr, so that a cone touches at most a 2x2 block of cells; each probe is sent to exactly
+those 4 keys. That never compares all pairs of such an event and spreads it over many
+join keys; its partial sums are combined by a hash aggregate on the probe key.
 """
 
 from __future__ import annotations
@@ -22,8 +23,13 @@ from pyspark.sql import functions as F
 
 from collidex.config import PI_APPROX
 from collidex.functions.kinematics import wrap_phi
+from collidex.session import written
 
 MAP_SPECIES = {"track": "s_trk", "neutral": "s_neu", "photon": "s_pho"}
+#: An event of more probes and candidates than this is cut into cells.
+CROWDED = 512
+#: Most ids of crowded events that are broadcast.
+MAX_BROADCAST = 1_000_000
 
 
 def _cells(eta, phi, cell):
@@ -69,10 +75,11 @@ def cone_residual(dr: float, wrap: str, period: float) -> F.Column:
     return valid & (dphi * dphi + deta * deta < F.lit(dr * dr))
 
 
-def _by_momentum(probes: DataFrame, sums: DataFrame, keys: list[str], pt: str) -> DataFrame:
-    """The sums of each probe, joined once and divided by its momentum."""
-    payload = [c for c in probes.columns if c not in keys]
-    agg = probes.join(sums, keys, "left").select(*keys, *payload, *[F.coalesce(n, F.lit(0.0)).alias(n) for n in MAP_SPECIES.values()])
+def _by_momentum(probes: DataFrame, keys: list[str], pt: str, derive=None) -> DataFrame:
+    """Probes with their sums: these divided by the momentum (columns of ``derive`` are made here)."""
+    agg = probes.withColumns({n: F.coalesce(n, F.lit(0.0)) for n in MAP_SPECIES.values()})
+    agg = derive(agg) if derive else agg
+    payload = [c for c in agg.columns if c not in keys and c not in MAP_SPECIES.values()]
     ppt = F.col(pt)
     zero = ppt <= 0
     return agg.select(
@@ -82,43 +89,71 @@ def _by_momentum(probes: DataFrame, sums: DataFrame, keys: list[str], pt: str) -
         F.when(zero, F.lit(0.0)).otherwise(F.col("s_neu") / ppt).alias("iso_neu"))
 
 
-def probe_cells(probes: DataFrame, keys: list[str], cell: float, eta: str, phi: str) -> DataFrame:
-    """Each probe in its own cell and the nearer neighbours in eta and in phi."""
-    pe, pp = F.col(eta), F.col(phi)
+def probe_blocks(pe, pp, cell: float) -> F.Column:
+    """The cell of a probe and its nearer neighbours in eta and in phi."""
     ce0, cp0 = _cells(pe, pp, cell)
     de = F.when(pe / F.lit(cell) - ce0 < 0.5, -1).otherwise(1)
     dp = F.when(pp / F.lit(cell) - cp0 < 0.5, -1).otherwise(1)
-    cells = F.array(*[F.struct((ce0 + a).alias("ce"), (cp0 + b).alias("cp"))
-                      for a, b in ((0, 0), (de, 0), (0, dp), (de, dp))])
-    return probes.select(*keys, pe.alias("_pe"), pp.alias("_pp"), F.inline(cells))
+    return F.array(*[F.struct((ce0 + a).alias("ce"), (cp0 + b).alias("cp"))
+                     for a, b in ((0, 0), (de, 0), (0, dp), (de, dp))])
+
+
+def probe_cells(probes: DataFrame, keys: list[str], cell: float, eta: str, phi: str) -> DataFrame:
+    """Each probe in its own cell and the nearer neighbours in eta and in phi."""
+    pe, pp = F.col(eta), F.col(phi)
+    return probes.select(*keys, pe.alias("_pe"), pp.alias("_pp"), F.inline(probe_blocks(pe, pp, cell)))
+
+
+def crowded_events(probes: DataFrame, cands: DataFrame, limit: int = CROWDED) -> DataFrame:
+    """``event_id`` of the events with more than ``limit`` probes and candidates.
+
+    The list is written; it has a row per ``limit`` rows of the input at most, and is broadcast while it is short.
+    """
+    rows = probes.select("event_id").unionAll(cands.select("event_id"))
+    many = rows.groupBy("event_id").agg(F.count("*").alias("_n")).where((F.col("_n") > limit) & F.col("event_id").isNotNull())
+    many = written(many.select("event_id"), "crowded-events")
+    return F.broadcast(many) if many.count() <= MAX_BROADCAST else many
 
 
 def isolation(probes: DataFrame, cands: DataFrame, key_cols=("event_id", "species", "pos"),
               dr: float = 0.3, wrap: str = "legacy", pi_approx: float = PI_APPROX,
-              eta: str = "p_eta", phi: str = "p_phi", pt: str = "p_pt") -> DataFrame:
+              eta: str = "p_eta", phi: str = "p_phi", pt: str = "p_pt", crowded: int = CROWDED, derive=None) -> DataFrame:
     """Add ``iso_ch``, ``iso_gamma``, ``iso_neu`` to every probe row.
 
     ``probes`` carries ``key_cols`` (unique), the probe kinematics ``eta``,
     ``phi`` (in [-pi, pi], e.g. from atan2) and ``pt``, plus any payload.
     ``cands`` carries event_id, species (track/neutral/photon), eta, phi, pt.
     ``wrap='legacy'`` wraps dphi only beyond 2*pi_approx; ``'periodic'`` wraps
-    into [-pi, pi).
+    into [-pi, pi). ``crowded`` is the number of rows beyond which an event is cut into
+    cells. ``derive`` makes the kinematic columns from a probe's own; they are then made
+    on both sides of the shuffle and do not travel.
     """
     if wrap not in ("legacy", "periodic"):
         raise ValueError(f"wrap must be 'legacy' or 'periodic', got {wrap!r}")
     cell = 2.0 * dr * (1.0 + 1e-9)
     keys = list(key_cols)
-
-    px = probe_cells(probes, keys, cell, eta, phi)
     period = 2.0 * (pi_approx if wrap == "legacy" else math.pi)
-    c = candidate_copies(cands, cell, wrap, period).drop("_kphi")
     in_cone = cone_residual(dr, wrap, period)
+    many = crowded_events(probes, cands, crowded)
+    sums = [F.sum(F.when(F.col("_cs") == s, F.col("_cpt"))).alias(n) for s, n in MAP_SPECIES.items()]
+
+    def made(df: DataFrame) -> DataFrame:
+        return derive(df) if derive else df
+
+    # Events of few rows: the payload goes through the join and the sums, which stay by event.
+    p, c = (df.join(many, "event_id", "left_anti").repartition("event_id") for df in (probes, cands))
+    p = made(p).select(*[F.col(x) for x in probes.columns], F.col(eta).alias("_pe"), F.col(phi).alias("_pp"))
+    c = candidate_copies(c, cell, wrap, period).drop("_kphi", "ce", "cp").withColumnRenamed("event_id", "_ev")
+    payload = [x for x in probes.columns if x not in keys]
+    few = p.join(c, (F.col("event_id") == F.col("_ev")) & in_cone, "left").groupBy(*keys).agg(*[F.first(x).alias(x) for x in payload], *sums)
+    few = _by_momentum(few.select(*probes.columns, *MAP_SPECIES.values()), keys, pt, derive)
 
     # Only keys and momenta travel with the pairs; their sums, combined before they are
     # shuffled, meet the probes and their payload once.
+    p, c = (df.join(many, "event_id", "left_semi") for df in (probes, cands))
+    px, c = probe_cells(made(p), keys, cell, eta, phi), candidate_copies(c, cell, wrap, period).drop("_kphi")
     pairs = px.join(c, ["event_id", "ce", "cp"], "inner").where(in_cone)
-    sums = pairs.groupBy(*keys).agg(*[F.sum(F.when(F.col("_cs") == s, F.col("_cpt"))).alias(n) for s, n in MAP_SPECIES.items()])
-    return _by_momentum(probes, sums, keys, pt)
+    return few.unionByName(_by_momentum(p.join(pairs.groupBy(*keys).agg(*sums), keys, "left"), keys, pt, derive))
 
 
 def isolation_sums(probes: DataFrame, cands: DataFrame, **kw) -> DataFrame:

@@ -81,8 +81,8 @@ def isolated_particles(particles: DataFrame, cuts: Cuts = DEFAULT_CUTS,
     maps = candidate_maps(particles, cuts)
     sp, pt = F.col("species"), F.col("pt")
     lep = sp.isin("electron", "muon") & (pt > cuts.lep_pt)
-    probes = with_kinematics(particles.where(lep if leptons_only else (map_condition(cuts) | lep)))
-    return isolate(probes, maps, dr=cuts.dr, wrap=cuts.wrap, pi_approx=cuts.pi_approx)
+    probes = particles.where(lep if leptons_only else (map_condition(cuts) | lep))
+    return isolate(probes, maps, dr=cuts.dr, wrap=cuts.wrap, pi_approx=cuts.pi_approx, derive=with_kinematics)
 
 
 def choose_lepton(iso_leptons: DataFrame, cuts: Cuts = DEFAULT_CUTS) -> DataFrame:

@@ -52,3 +52,29 @@ def test_isolation_wrap(spark, wrap):
     assert got.keys() == want.keys()
     for k in want:
         np.testing.assert_allclose(got[k], want[k], rtol=1e-12, atol=1e-12, err_msg=str(k))
+
+
+def test_crowded_events_in_cells_equal_others(spark):
+    """Events beyond the limit are cut into cells, the others are not; the sums are the same."""
+    rng = np.random.default_rng(4)
+    rows = [(e, s, i, float(a), float(b), float(p)) for e, n in ((1, 40), (2, 6), (3, 1))
+            for i, (s, a, b, p) in enumerate(zip(rng.choice(["track", "neutral", "photon"], n), rng.uniform(-1, 1, n), rng.uniform(-3.1, 3.1, n), rng.uniform(1, 9, n)))]
+    cands = spark.createDataFrame(rows, "event_id long, species string, pos int, eta double, phi double, pt double")
+    probes = cands.selectExpr("event_id", "species", "pos", "eta AS p_eta", "phi AS p_phi", "pt AS p_pt")
+    for wrap in ("legacy", "periodic"):
+        got = [{r[:3]: r[3:] for r in isolation(probes, cands, wrap=wrap, crowded=n).collect()} for n in (10**6, 30, 0)]
+        assert len(got[0]) == len(rows) and any(v[3] > -1 for v in got[0].values())
+        for other in got[1:]:
+            assert other.keys() == got[0].keys()
+            assert all(np.allclose(other[k], v, rtol=0, atol=1e-9) for k, v in got[0].items())
+
+
+def test_rows_of_sparse_events_are_dealt_once(spark):
+    """No copies of probes in four cells, and sums and momenta stay in the partitioning by event."""
+    rows = [(e, "track", i, 0.1 * i, 0.0, 2.0) for e in range(20) for i in range(5)]
+    cands = spark.createDataFrame(rows, "event_id long, species string, pos int, eta double, phi double, pt double")
+    probes = cands.selectExpr("event_id", "species", "pos", "eta AS p_eta", "phi AS p_phi", "pt AS p_pt")
+    out = isolation(probes, cands).groupBy("event_id").agg({"iso_ch": "max"})
+    assert len(out.collect()) == 20
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "inline(" not in plan and plan.count("Exchange hashpartitioning") == 2
