@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from collidex import schemas
 from collidex.functions import kinematics as K
 from collidex.operators import prep as PR
-from collidex.operators.features import FEATURE_COLS
+from collidex.operators.features import FEATURE_COLS, event_features, particle_features
 from collidex.operators.selection import preselect_nested
 from collidex.plans import jobs
-from collidex.plans.queries import _event_features, _particle_features, query, rounded
+from collidex.plans.queries import _event_features, query, rounded
 from collidex.session import scratch_path, written
 from collidex.sources import events as EV
-from collidex.sources.fixture import fixture_nested_events
+from collidex.sources.fixture import fixture, fixture_nested_events
 
 #: Files of each bucketed table of ``bucketed_join``.
 BUCKETS = 8
@@ -90,7 +90,8 @@ def q_prepared_round_trip(spark, sf_dir):
 def q_bucketed_join(spark, sf_dir):
     """S3 with layout: both feature tables bucketed by event, joined and grouped without an exchange."""
     run = uuid.uuid4().hex
-    for name, df in (("particles", _particle_features(spark, sf_dir)), ("events", _event_features(spark, sf_dir))):
+    parts, events = fixture(spark, sf_dir)                 # written once, read by both
+    for name, df in (("particles", particle_features(parts, events)), ("events", event_features(parts, events))):
         EV.write_bucketed(df, f"features_{name}_{run}", scratch_path(spark, f"bucketed-{name}-{run}"), BUCKETS)
     pf = EV.read_bucketed(spark, f"features_particles_{run}", ["event_id", "Pt"])
     ef = EV.read_bucketed(spark, f"features_events_{run}", ["event_id", "label", "HT"])
