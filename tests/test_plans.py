@@ -72,3 +72,36 @@ def test_flattening_reads_and_explodes_events_once(spark, scratch):
 def test_bucketed_tables_join_without_an_exchange(spark):
     plan = _plan(spark, "bucketed_join")
     assert "Exchange" not in plan and "SortMergeJoin" in plan
+
+
+def test_raster_rows_are_grouped_where_the_points_are(spark):
+    """Only points are shuffled; rows and runs, many times as many, are made and grouped in their event's partition."""
+    from collidex.operators import images as IM
+    pts = spark.createDataFrame([(1, "track", 0, 3.1, 5.0)], "event_id long, species string, seq int, Phi double, Pt double")
+    pf = pts.selectExpr("event_id", "seq", "0.5D AS Eta", "Phi", "Pt", *[f"{v} AS {c}" for c, v in zip(IM.TYPE_FEATURES, ("1D", "0D", "0D", "0D", "0D", "1D"))])
+    ef = spark.createDataFrame([(1, 20.0, 0.3, 0)], "event_id long, MET double, phiMET double, label int")
+    runs = IM.event_runs(pf, ef, res=10).groupBy("event_id").count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = runs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert runs.collect()[0]["count"] > 0
+
+
+@pytest.mark.parametrize("name", ["mlp_predict", "inclusive_predict"])
+def test_features_of_a_fit_are_computed_once(spark, name):
+    """Fits and the score read written features; none of them selects and isolates again."""
+    plan = _plan(spark, name)
+    assert "Join" not in plan and "Window" not in plan and "Exchange" not in plan
+
+
+def test_unpad_keeps_rows_with_any_value(spark):
+    from collidex.operators.features import FEATURE_COLS, unpad
+    z, nan = [0.0] * len(FEATURE_COLS), float("nan")
+    rows = [z, z[:-1] + [2.0], z, [nan] + z[1:], [-0.0] + z[1:], z[:-1] + [None], [0.0], [1.0], z]
+    got = spark.createDataFrame([(rows,)], "lfeatures array<array<double>>").select(unpad().alias("f"), unpad().alias("g")).first()["f"]
+    assert len(got) == 3 and got[0][-1] == 2.0 and got[1][0] != got[1][0] and got[2] == [1.0]
+    zeros = spark.createDataFrame([([z] * 800,)], "lfeatures array<array<double>>").select(unpad().alias("f"))
+    assert zeros.first()["f"] == [] and "NOT (" in zeros._jdf.queryExecution().optimizedPlan().toString()     # one comparison a row
