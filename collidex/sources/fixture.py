@@ -43,10 +43,10 @@ def fixture_particles(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("event_id").orderBy(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     base = (li.withColumn("event_id", event_id)
-            .withColumn("species", species)
+            .withColumn("pos", F.row_number().over(w).cast("int"))
+            .withColumn("species", species)         # made after the shuffle of the window
             .select(
-                "event_id", "species",
-                F.row_number().over(w).cast("int").alias("pos"),
+                "event_id", "species", "pos",
                 (F.when(F.col("species") == "track", price / F.lit(10000.0))
                  .when(F.col("species").isin("photon", "neutral"), price / F.lit(4000.0))
                  .when(F.col("species").isin("electron", "muon"), price / F.lit(2000.0))

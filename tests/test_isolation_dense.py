@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from collidex.operators import dense_isolation as dense_isolation_module
 from collidex.operators.dense_isolation import isolation_dense
 from collidex.operators.isolation import isolation
 
@@ -49,3 +50,29 @@ def test_a_hundred_thousand_particles_in_one_cell(spark):
 def test_no_candidates(spark):
     p = spark.createDataFrame([(1, "probe", 0, 0.0, 0.0, 2.0)], PROBE)
     assert [tuple(r)[6:] for r in isolation_dense(p, spark.createDataFrame([], CAND)).collect()] == [(-1.0, 0.0, 0.0)]
+
+
+@pytest.mark.parametrize("crowded", [0, 30, 512])
+def test_only_probes_near_a_split_cell_are_copied(spark, monkeypatch, crowded):
+    rng = np.random.default_rng(5)
+    cands, probes = [], []
+    for eid, (n, width) in enumerate([(3, 2.0), (25, 0.4), (25, 2.0), (60, 0.2)]):
+        for i in range(n):
+            x, y = float(rng.normal(0, width)), float(np.clip(rng.normal(3.0, width), -math.pi, math.pi))
+            cands.append((eid, ["track", "photon", "neutral"][i % 3], x, y, float(rng.uniform(0.5, 3))))
+            probes.append((eid, "probe", i, x, y, 1.0))
+    probes.append((None, "probe", 0, 0.0, 0.0, 1.0))
+    p, c = spark.createDataFrame(probes, PROBE), spark.createDataFrame(cands, CAND)
+    copied = []
+    cells = dense_isolation_module.probe_cells
+    monkeypatch.setattr(dense_isolation_module, "probe_cells", lambda q, *a: copied.append(q) or cells(q, *a))
+    want = {tuple(r)[:3]: tuple(r)[6:] for r in isolation(p, c).collect()}
+    for limit in (4, 100):
+        copied.clear()
+        got = {tuple(r)[:3]: tuple(r)[6:] for r in isolation_dense(p, c, limit=limit, crowded=crowded).collect()}
+        assert got.keys() == want.keys() and len(got) == len(probes)
+        for k in want:
+            np.testing.assert_allclose(got[k], want[k], rtol=1e-9, atol=1e-9, err_msg=str(k))
+        if crowded == 512:
+            there = {r.event_id for q in copied for r in q.collect()}
+            assert there == set() if limit == 100 else 3 in there and 0 not in there
