@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are handled in runs of about this many bytes, to bound the memory of a task (a longer text is a run of its own).
-RUN_BYTES = 1 << 21
+RUN_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD, _MIX1, _MIX2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -43,7 +43,7 @@ def _run_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> list[np.ndarray]
     empty = np.empty(0, np.uint64)
     if n == 0:
         return [empty] * docs
-    size = 1 << max(21, (n - 1).bit_length())
+    size = 1 << max(19, (n - 1).bit_length())
     power, inverse = _powers(size)
     solid = ~white[data]
     edge = np.zeros(n + 1, bool)
