@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from collidex.config import DEFAULT_CUTS, EVENT_FEATURES, PARTICLE_FEATURES, Cuts
 from collidex.functions.kinematics import delta_r, sign3, transverse_mass
-from collidex.operators.selection import (LEPTON_FIELDS, cap, event_particles, isolated_particles, within_caps,
-                                         select_events)
+from collidex.operators.selection import (KINEMATICS, LEPTON_FIELDS, cap, event_particles, isolated_particles, within_caps,
+                                         select_events, with_kinematics)
 
 FEATURE_COLS = list(PARTICLE_FEATURES)
 EVENT_COLS = list(EVENT_FEATURES)
@@ -67,20 +67,19 @@ def particle_features_skew_safe(particles: DataFrame, events: DataFrame,
     is written once under the checkpoint folder instead of joined twice.
     """
     from collidex.operators.ordered import ordered_rank
-    iso = isolated_particles(particles, cuts)
+    iso = isolated_particles(particles, cuts).drop(*KINEMATICS)
     if materialize:
-        import uuid
-        from collidex.session import scratch_path
-        spark = iso.sparkSession
-        path = scratch_path(spark, f"isolated-{uuid.uuid4().hex}")
-        iso.write.parquet(path)
-        iso = spark.read.parquet(path)
-    selected, _ = select_events(particles, events, cuts, iso=iso)
+        from collidex.session import written
+        iso = written(iso, "isolated")
+    # Values that follow from pt, eta and phi are made where they are used: they are neither written nor shuffled.
+    selected, _ = select_events(particles, events, cuts, iso=with_kinematics(iso.where(F.col("species").isin("electron", "muon"))))
     sp = F.col("species")
     lep = selected.select("event_id", "lep_p_eta", "lep_p_phi")
-    objs = iso.where(sp.isin("track", "photon", "neutral")).join(lep, "event_id")
+    objs = iso.where(sp.isin("track", "photon", "neutral")).select(
+        "event_id", "species", "pos", "pt", "eta", "phi", "iso_ch", "iso_gamma", "iso_neu", *[F.when(sp == "track", F.col(c)).alias(c) for c in ("x", "y", "z", "pid")])
+    objs = with_kinematics(objs.join(lep, "event_id"))
     d = delta_r("lep_p_eta", "lep_p_phi", "p_eta", "p_phi", cuts.pi_approx)
-    objs = objs.where((sp != "track") | (d > cuts.overlap_dr)).drop("lep_p_eta", "lep_p_phi")
+    objs = objs.where((sp != "track") | (d > cuts.overlap_dr)).drop("lep_p_eta", "lep_p_phi", *KINEMATICS)
     caps = {"track": cuts.max_tracks, "photon": cuts.max_photons, "neutral": cuts.max_neutrals}
     kept = (ordered_rank(objs, ["event_id", "species"], "pos", n_blocks=n_blocks)
             .where(within_caps(caps)))
@@ -88,7 +87,7 @@ def particle_features_skew_safe(particles: DataFrame, events: DataFrame,
         F.count(F.when(sp == "track", 1)).alias("n_trk"), F.count(F.when(sp == "photon", 1)).alias("n_pho"))
     offset = F.when(sp == "track", 0).when(sp == "photon", F.col("n_trk")).otherwise(
         F.col("n_trk") + F.col("n_pho"))
-    kept = (kept.join(counts, "event_id")
+    kept = (with_kinematics(kept.join(counts, "event_id"))
             .withColumn("seq", (F.col("rank") + offset).cast("int"))
             .withColumn("is_lep", F.lit(False)))
     lep_rows = selected.select(

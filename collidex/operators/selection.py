@@ -14,6 +14,9 @@ from collidex.operators.isolation import isolation
 LEPTON_FIELDS = ["e", "px", "py", "pz", "p_pt", "p_eta", "p_phi",
                  "iso_ch", "iso_gamma", "iso_neu", "charge"]
 
+#: Columns of :func:`with_kinematics`.
+KINEMATICS = ["e", "px", "py", "pz", "p_pt", "p_eta", "p_phi"]
+
 
 def map_condition(cuts: Cuts = DEFAULT_CUTS):
     """P5 predicate: track pt > 0.5, photon and neutral ET > 1.0 (strict)."""

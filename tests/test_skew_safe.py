@@ -29,3 +29,26 @@ def test_sequences_skew_safe(spark):
     df = to_df(spark, edge_events())
     pf = FE.particle_features(EV.explode_particles(df), EV.event_info(df))
     _same(SQ.sequence_features(pf), SQ.sequence_features_skew_safe(pf, n_blocks=3))
+
+
+def _tables_written(monkeypatch):
+    from collidex import session
+    from collidex.operators import ordered
+    seen, real = [], session.written
+
+    def spy(df, name):
+        seen.append((name, set(df.columns)))
+        return real(df, name)
+
+    monkeypatch.setattr(session, "written", spy)
+    monkeypatch.setattr(ordered, "written", spy)
+    return seen
+
+
+def test_values_that_follow_from_others_are_not_written(spark, monkeypatch):
+    seen = _tables_written(monkeypatch)
+    parts, events = fixture(spark, SF0001)
+    FE.particle_features_skew_safe(parts, events)
+    tables = dict(seen)
+    assert {"isolated", "ordered"} <= set(tables)
+    assert not any(c in tables[t] for t in ("isolated", "ordered") for c in ("e", "px", "py", "pz", "p_pt", "p_eta", "p_phi"))
