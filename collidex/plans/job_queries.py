@@ -15,7 +15,7 @@ from collidex.operators.features import FEATURE_COLS, event_features, particle_f
 from collidex.operators.selection import preselect_nested
 from collidex.plans import jobs
 from collidex.plans.queries import _event_features, query, rounded
-from collidex.session import scratch_path, written
+from collidex.session import input_bytes, scratch_path
 from collidex.sources import events as EV
 from collidex.sources.fixture import fixture, fixture_nested_events
 
@@ -25,10 +25,12 @@ BUCKETS = 8
 
 def event_files(spark, sf_dir) -> dict[int, str]:
     """The fixture's nested events as files, one folder per class."""
-    nested = written(fixture_nested_events(spark, sf_dir), "nested")
-    paths = {k: scratch_path(spark, f"sample-{k}-{uuid.uuid4().hex}") for k in (0, 1, 2)}
-    for k, path in paths.items():
-        nested.where(F.col("label") == k).drop("label").write.parquet(path)
+    path = scratch_path(spark, f"samples-{uuid.uuid4().hex}")
+    fixture_nested_events(spark, sf_dir).write.partitionBy("label").parquet(path)
+    paths = {k: f"{path}/label={k}" for k in (0, 1, 2)}
+    for k in paths:                            # a class may have no event
+        if not input_bytes(spark, [paths[k]]):
+            spark.createDataFrame([], schemas.EVENT).drop("label").write.mode("overwrite").parquet(paths[k])
     return paths
 
 

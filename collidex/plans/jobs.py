@@ -1,16 +1,14 @@
 """The two batch jobs: events -> features (E1) and features -> images.
 
-E1 writes the per-event particle table of selected events once to the
-shared checkpoint folder (cutting lineage and letting both feature tables
-read it without recomputing isolation), then the particle features (flat,
-and optionally the padded matrix) and the event features, partitioned by
-label so class-wise reads prune files.
+E1 writes the particle features (flat), made in the partitioning by event that
+isolation leaves, and the event features from their lepton rows, partitioned by
+label so class-wise reads prune files. Only for the padded matrix is the per-event
+particle table of selected events written first, to the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
 import argparse
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +17,7 @@ from collidex.config import DEFAULT_CUTS, Cuts
 from collidex.operators import features as FE
 from collidex.operators import images as IM
 from collidex.operators.selection import event_particles, preselect_nested
-from collidex.session import build_session, scratch_path, size_shuffles
+from collidex.session import build_session, size_shuffles, written
 from collidex.sources import events as EV
 
 
@@ -49,14 +47,14 @@ def events_to_features(spark: SparkSession, samples: dict[int, str], out: str,
         EV.write_sample_stats(events, stats_path)
     kept = preselect_nested(events, cuts)
     parts, info = EV.explode_particles(kept), EV.event_info(kept)
-    ep_path = scratch_path(spark, f"event_particles-{uuid.uuid4().hex}")
-    event_particles(parts, info, cuts).write.mode("overwrite").parquet(ep_path)
-    ep = spark.read.parquet(ep_path)
+    ep = event_particles(parts, info, cuts)
+    if matrix:                                 # read once more
+        ep = written(ep, "event_particles")
     paths = {"particle_features": f"{out}/particle_features", "event_features": f"{out}/event_features"}
-    pf = FE.particle_features(parts, info, cuts, ep=ep).join(
-        ep.where(F.col("is_lep")).select("event_id", "label"), "event_id")
+    pf = FE.particle_features(parts, info, cuts, ep=ep, extra=("label",))
     EV.write_features(pf, paths["particle_features"], partition_by=["label"])
-    ef = FE.event_features(parts, info, cuts, ep=ep)
+    pf = spark.read.schema(pf.schema).parquet(paths["particle_features"])
+    ef = FE.event_features(parts, info, cuts, ep=FE.lepton_rows(pf, info))
     EV.write_features(ef, paths["event_features"], partition_by=["label"])
     if matrix:
         paths["matrix"] = f"{out}/matrix"

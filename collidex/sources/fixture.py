@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from collidex import schemas
@@ -67,16 +67,20 @@ def fixture_particles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.withColumn("species", F.explode(copies)).select(*base.columns)
 
 
+def _counted() -> list[Column]:
+    return [F.count(F.when(F.col("species") == sp, 1)).cast("int").alias(f"{sp}_size") for sp in ("electron", "muon")]
+
+
+def _event_values() -> list[Column]:
+    eid = F.col("event_id")
+    return [(eid % 3).cast("int").alias("label"), ((eid * 7919 % 20000) / F.lit(100.0)).alias("met"),
+            ((eid * 31 % 629 - 314) * F.lit(0.0097)).alias("met_phi")]
+
+
 def fixture_events(particles: DataFrame) -> DataFrame:
     """Event relation (schemas.EVENT_INFO) for the fixture particles."""
-    eid = F.col("event_id")
-    return (particles.groupBy("event_id").agg(
-                F.count(F.when(F.col("species") == "electron", 1)).cast("int").alias("electron_size"),
-                F.count(F.when(F.col("species") == "muon", 1)).cast("int").alias("muon_size"))
-            .select(
-                "event_id", (eid % 3).cast("int").alias("label"), "electron_size", "muon_size",
-                ((eid * 7919 % 20000) / F.lit(100.0)).alias("met"),
-                ((eid * 31 % 629 - 314) * F.lit(0.0097)).alias("met_phi")))
+    label, met, met_phi = _event_values()
+    return particles.groupBy("event_id").agg(*_counted()).select("event_id", label, "electron_size", "muon_size", met, met_phi)
 
 
 def fixture(spark: SparkSession, sf_dir: str, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -105,8 +109,11 @@ def _ordered(particles: DataFrame, species: str, fields: list[tuple[str, str]]):
 
 
 def fixture_nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixture as nested raw events (schemas.EVENT): one row per event."""
-    parts, events = fixture(spark, sf_dir)
+    """The fixture as nested raw events (schemas.EVENT): one row per event.
+
+    Particles are used once, where they were numbered: they are neither written nor shuffled again.
+    """
+    parts = fixture_particles(spark, sf_dir)
     t = [("pt", "PT"), ("eta", "Eta"), ("phi", "Phi"), ("x", "X"), ("y", "Y"), ("z", "Z"), ("pid", "PID")]
     tw = [("pt", "ET"), ("eta", "Eta"), ("phi", "Phi")]
     lep = [("pt", "PT"), ("eta", "Eta"), ("phi", "Phi"), ("charge", "Charge")]
@@ -118,9 +125,10 @@ def fixture_nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         _ordered(parts, "electron", lep).alias("Electron"),
         _ordered(parts, "muon", lep).alias("MuonTight"),
         _ordered(parts, "jet", jet).alias("Jet"),
+        *_counted(),
     )
     met = F.array(F.struct(F.col("met").alias("MET"), F.col("met_phi").alias("Phi")))
-    out = arrays.join(events, "event_id").select(
+    out = arrays.select("*", *_event_values()).select(
         "event_id", "EFlowTrack", "EFlowNeutralHadron", "EFlowPhoton", "Electron", "MuonTight",
         F.col("electron_size").alias("Electron_size"), F.col("muon_size").alias("MuonTight_size"),
         met.alias("MissingET"), "Jet", "label")

@@ -101,3 +101,26 @@ def test_model_save_load(spark, scratch):
     a = [r.prediction for r in MD.score(m, df).collect()]
     b = [r.prediction for r in MD.score(m2, df).collect()]
     assert a == b
+
+
+def _scratch_tables(spark):
+    from collidex.session import ensure_checkpoint_dir
+    return set(os.listdir(ensure_checkpoint_dir(spark).removeprefix("file:")))
+
+
+def test_jobs_write_events_and_features_and_no_tables_between(spark):
+    import __spark_entry__ as E
+    before = _scratch_tables(spark)
+    for name in ("job_event_features", "job_particle_features"):
+        assert E.queries()[name](spark, SF0001).count() > 100
+    made = {t.rsplit("-", 5)[0] if t.count("-") > 4 else t.rsplit("-", 1)[0] for t in _scratch_tables(spark) - before}
+    assert made == {"samples", "features", "crowded-events"}
+
+
+def test_job_on_a_class_without_events(spark, scratch):
+    import __spark_entry__ as E
+    some = spark.read.parquet(f"{SF0001}/lineitem.parquet").where("floor(l_orderkey / 10) % 3 != 1")
+    some.write.parquet(f"{scratch}/lineitem.parquet")
+    got = {r["label"]: r["count"] for r in E.queries()["job_event_features"](spark, scratch).groupBy("label").count().collect()}
+    want = {r["label"]: r["count"] for r in E.queries()["event_features"](spark, scratch).groupBy("label").count().collect()}
+    assert got == want and set(got) == {0, 2}
