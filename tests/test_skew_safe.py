@@ -52,3 +52,13 @@ def test_values_that_follow_from_others_are_not_written(spark, monkeypatch):
     tables = dict(seen)
     assert {"isolated", "ordered"} <= set(tables)
     assert not any(c in tables[t] for t in ("isolated", "ordered") for c in ("e", "px", "py", "pz", "p_pt", "p_eta", "p_phi"))
+
+
+def test_sequences_meet_their_event_once(spark, monkeypatch):
+    seen = _tables_written(monkeypatch)
+    pf = FE.particle_features(*fixture(spark, SF0001))
+    some = pf.where("event_id % 2 = 0 OR seq > 0")              # no lepton row: no order, no sequence
+    got = SQ.sequence_features_skew_safe(some)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and dict(seen)["ordered"] >= {"dr", "Pt"}                      # that with the offsets
+    _same(SQ.sequence_features(pf.where("event_id % 2 = 0")), got)
